@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import byte_bpe, language_id, quality_rules, secret_scan, toxicity
+from evidentia.llm import byte_bpe, language_id, license_scan, media_store, quality_rules, secret_scan, toxicity
 from evidentia.llm.arrow import documents
 
 
@@ -18,10 +18,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.query(documents(spark, sf_dir))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.query(documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_media_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_store.query(documents(spark, sf_dir))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.query(documents(spark, sf_dir))
 
@@ -31,7 +39,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_language_id, op4_quality_rules, op6_toxicity, op8_byte_bpe, op10_secret_scan)}
+    return {f.__name__: f for f in (op3_language_id, op4_quality_rules, op5_license_scan, op6_toxicity, op7_media_store, op8_byte_bpe, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
