@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import byte_bpe, language_id, license_scan, media_store, quality_rules, secret_scan, toxicity
+from evidentia.llm import byte_bpe, language_id, license_scan, media_store, packing, quality_rules, secret_scan, toxicity
 from evidentia.llm.arrow import documents
 
 
@@ -34,12 +34,16 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.query(documents(spark, sf_dir))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.query(documents(spark, sf_dir))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.query(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_language_id, op4_quality_rules, op5_license_scan, op6_toxicity, op7_media_store, op8_byte_bpe, op10_secret_scan)}
+    return {f.__name__: f for f in (op3_language_id, op4_quality_rules, op5_license_scan, op6_toxicity, op7_media_store, op8_byte_bpe, op9_packing, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
