@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             ys.append(batch.column("toxic").to_numpy(zero_copy_only=False))
             lists.append(batch.column("terms"))
         if ys:
-            counts = np.concatenate([np.asarray(pa.compute.list_value_length(x)) for x in lists])
+            counts = np.concatenate([np.asarray(pc.list_value_length(x)) for x in lists])
             flat = np.concatenate([np.asarray(x.flatten()) for x in lists]).astype(np.int64)
             order = np.argsort(np.concatenate(ids), kind="stable")
             rank = np.empty(len(order), np.int64)
