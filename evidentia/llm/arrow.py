@@ -31,13 +31,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Parts of a batch by SLICE_BYTES."""
+    """Parts of a batch by SLICE_BYTES and BATCH_ROWS."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     start = 0
     while start < batch.num_rows:
         base = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+        stop = min(stop, start + BATCH_ROWS)
         yield batch.slice(start, stop - start)
         start = stop
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.llm import byte_bpe, katz, language_id, license_scan, media_store, packing, quality_rules, secret_scan, toxicity
+from evidentia.llm import byte_bpe, katz, language_id, license_scan, media_store, near_dedup, packing, quality_rules, secret_scan, toxicity
 from evidentia.llm.arrow import documents
 
 
@@ -14,6 +14,10 @@ def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.query(documents(spark, sf_dir))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.query(documents(spark, sf_dir))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(documents(spark, sf_dir))
 
@@ -47,8 +51,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_katz, op3_language_id, op4_quality_rules, op5_license_scan, op6_toxicity, op7_media_store, op8_byte_bpe, op9_packing, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_katz, op2_near_dedup, op3_language_id, op4_quality_rules, op5_license_scan, op6_toxicity, op7_media_store, op8_byte_bpe, op9_packing, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality_rules.ORACLE}
+    return {"op2_near_dedup": near_dedup.ORACLE, "op4_quality_rules": quality_rules.ORACLE}
