@@ -131,7 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                 ends = np.searchsorted(of, np.arange(part.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "toxic": part.column("toxic"), "terms": pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))})
 
-    rows_of = docs.select("doc_id", "text").join(chosen, "doc_id").mapInArrow(to_terms, "doc_id bigint, toxic int, terms array<int>")
+    taught = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `rows` rows
+    rows_of = taught.mapInArrow(to_terms, "doc_id bigint, toxic int, terms array<int>")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ys, lists, ids = [], [], []
@@ -152,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             model = Model(np.zeros(0, np.int64), -30.0, np.zeros(1), np.zeros((1, FACTORS)))
         yield pa.RecordBatch.from_pydict({"terms": pa.array([model.terms], pa.list_(pa.int64())), "w0": pa.array([model.w0]), "w": pa.array([model.w], pa.list_(pa.float64())), "v": pa.array([model.v.ravel()], pa.list_(pa.float64()))})
 
-    (one,) = rows_of.coalesce(1).mapInArrow(learn, "terms array<bigint>, w0 double, w array<double>, v array<double>").collect() or [None]
+    (one,) = rows_of.repartition(1).mapInArrow(learn, "terms array<bigint>, w0 double, w array<double>, v array<double>").collect() or [None]
     if one is None:
         return Model(np.zeros(0, np.int64), -30.0, np.zeros(1), np.zeros((1, FACTORS)))
     return Model(np.array(one["terms"], np.int64), one["w0"], np.array(one["w"]), np.array(one["v"]).reshape(-1, FACTORS))
