@@ -63,7 +63,7 @@ def shingle_sets(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     shorts = np.array([(hashes[of[i] : of[i + 1]] * salt[: counts[i]]).sum() for i in few], np.uint64) + salt[size] * counts[few].astype(np.uint64)
     value = np.concatenate([mix(value[whole]), mix(shorts)]) >> np.uint64(9)
     both = np.unique((np.concatenate([own[whole], few]).astype(np.uint64) << np.uint64(55)) | value)
-    at = np.searchsorted(both, np.arange(len(counts) + 1, dtype=np.uint64) << np.uint64(55))
+    at = np.append(np.searchsorted(both, np.arange(len(counts), dtype=np.uint64) << np.uint64(55)), len(both))
     return both & np.uint64((1 << 55) - 1), at
 
 
@@ -373,7 +373,7 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 ORACLE = r"""
-WITH RECURSIVE t AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+WITH RECURSIVE t AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM t WHERE len(w) > 0))),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),

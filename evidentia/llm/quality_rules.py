@@ -115,12 +115,12 @@ def query(docs: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id, text, source) AS r, doc_id, source AS host, coalesce(text, '') AS text FROM documents),
-t AS (SELECT r, doc_id, host, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+t AS (SELECT r, doc_id, host, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 g AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),
 rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM g) WHERE n >= 2),
 cov AS (SELECT r, sum(least(5, coalesce(nx - i, 5))) AS n FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nx FROM rep) GROUP BY r),
-f AS (SELECT doc_id, host, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+f AS (SELECT doc_id, host, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
       FROM t LEFT JOIN cov USING (r)),

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from evidentia.llm import near_dedup
@@ -79,6 +80,12 @@ def test_components_equal_all_pairs(spark):
             assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_sets_of_a_full_batch():
+    texts = [f"a b c d e{i}" for i in range(512)]
+    values, at = near_dedup.shingle_sets(pa.array(texts), 4)
+    assert len(at) == 513 and set(at[1:] - at[:-1]) == {2} and len(set(values.tolist())) == 513
+
+
 def test_empty_table(spark):
     assert near_dedup.query(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
