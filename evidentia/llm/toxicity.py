@@ -29,14 +29,14 @@ from evidentia.llm.textscan import ALNUM, Words, utf8
 TRAIN_ROWS = 40_000
 TERMS = 4096
 BUCKETS = 1 << 24
-#: Rows of latent factors; passes; step; pull towards 0.
+#: Latent factors; steps over the whole sample; their size; pull towards 0.
 FACTORS = 4
-EPOCHS = 40
+STEPS = 150
 STEP = 0.05
 DECAY = 1e-4
 #: A term must stand in this many training texts and depend on the label with this chi-square.
 LEAST_TEXTS = 8
-LEAST_CHI2 = 16.0
+LEAST_CHI2 = 40.0
 
 
 def terms(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +95,7 @@ def fit(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, factors: int = FACTOR
     base = positive / n
     w0, w, v = float(np.log(base / (1 - base))), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), factors))
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (np.zeros(1), w, v)]
-    for step in range(1, EPOCHS * 10 + 1):
+    for step in range(1, STEPS + 1):
         total, sums = forward(of, at, n, w0, w, v)
         error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - y) / n
         own = error[of]
@@ -115,7 +115,18 @@ def fit(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, factors: int = FACTOR
                 w -= move
             else:
                 v -= move
-    return Model(chosen, w0, w, v)
+    return Model(chosen, w0 - middle_cut(forward(of, at, n, w0, w, v)[0], y), w, v)
+
+
+def middle_cut(total: np.ndarray, y: np.ndarray) -> float:
+    """The sum that parts the sample's labels with fewest errors, the middle of all such, so that 0.5 becomes the cut."""
+    order = np.argsort(total, kind="stable")
+    ranked = total[order]
+    errors = np.concatenate([[0], np.cumsum(y[order])]) + np.concatenate([np.cumsum((1 - y[order])[::-1])[::-1], [0]])
+    edges = np.concatenate([[ranked[0] - 1], (ranked[1:] + ranked[:-1]) / 2, [ranked[-1] + 1]])
+    real = np.concatenate([[True], ranked[1:] > ranked[:-1], [True]])
+    best = np.flatnonzero(real & (errors == errors[real].min()))
+    return float((edges[best[0]] + edges[best[-1]]) / 2)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
