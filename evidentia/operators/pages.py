@@ -72,21 +72,21 @@ def continued_reasons(lines: DataFrame) -> DataFrame:
 def rows_of(spans: DataFrame, keys: tuple[str, ...] = PAGE, tolerance: float = 4.0) -> DataFrame:
     """spans (x, y) with row: spans join the row whose first one lies within tolerance of them, in order of height.
 
-    The row's first span decides, so this is no gap between neighbours: a page's spans are folded in order, in one task
-    for each page.
+    The row's first span decides, so this is no gap between neighbours: the spans of a page, which are few, are folded in
+    order within one row of the plan.
     """
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spans.schema) + ", row int"
-
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values(["y", "x"], kind="stable")
-        out, base, row = [], None, -1
-        for y in page["y"]:
-            if base is None or abs(y - base) > tolerance:
-                base, row = y, row + 1
-            out.append(row)
-        return page.assign(row=out)
-
-    return spans.groupBy(*keys).applyInPandas(fold, schema)
+    others = [c for c in spans.columns if c not in (*keys, "y", "x")]
+    page = spans.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("y", "x", *others))).alias("spans"))
+    start = F.struct(F.lit(None).cast("double").alias("base"), F.lit(-1).alias("row"), F.array().cast("array<int>").alias("out"))
+
+    def step(s: Column, span: Column) -> Column:
+        fresh = s["base"].isNull() | (F.abs(span["y"] - s["base"]) > tolerance)
+        row = s["row"] + fresh.cast("int")
+        return F.struct(F.when(fresh, span["y"].cast("double")).otherwise(s["base"]).alias("base"), row.alias("row"), F.concat(s["out"], F.array(row)).alias("out"))
+
+    rows = F.aggregate("spans", start, step, lambda s: s["out"])
+    each = page.select(*keys, F.explode(F.arrays_zip(F.col("spans").alias("span"), rows.alias("row"))).alias("e"))
+    return each.select(*keys, "e.span.*", "e.row")
 
 
 def assemble_lines(spans: DataFrame) -> DataFrame:

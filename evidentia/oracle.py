@@ -127,7 +127,7 @@ def sql(final: str, **more: str) -> str:
     while todo:
         text = todo.pop()
         for name in names:
-            if name not in need and re.search(rf"\b(?:FROM|JOIN|,)\s+{name}\b", text):
+            if name not in need and re.search(rf"(?:\bFROM|\bJOIN|,)\s+{name}\b", text):
                 need.add(name)
                 todo.append(steps[name])
     return "WITH " + ",\n".join(f"{n} AS ({steps[n]})" for n in names if n in need) + "\n" + final
