@@ -1,13 +1,13 @@
 """Reconciliation of field candidates by weighted votes.
 
 Weights are whole numbers (confidence in percent times 100 plus the tier's bonus), so sums do not depend on their order. Ties
-go to the value seen first. Every step is one aggregation by packet, pre-aggregated before its shuffle; nothing is
-collected in lists but the flags of a packet, of which there are eight kinds.
+go to the value seen first. A packet's rows are few and never spread over packets, so rows are dealt out once by packet and every
+later step stays in place; nothing is collected in lists but the flags of a packet, of which there are eight kinds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia import dims
@@ -54,13 +54,12 @@ def corrections(pool: DataFrame) -> DataFrame:
 
 def digital_first(pool: DataFrame) -> DataFrame:
     """pool without what is read by OCR, for fields and packets in which text is read digitally; names likewise without fragments."""
-    keys = ("case_id", "fld")
+    own = Window.partitionBy("case_id", "fld")
     full = F.size(F.split(F.trim("value"), r"\s+")) >= 2
-    marks = pool.groupBy(*keys).agg(F.max((F.col("source") == "digital").cast("int")).alias("has_digital"), F.max(full.cast("int")).alias("has_full"))
-    joined = pool.join(marks, list(keys))
+    marked = pool.withColumns({"has_digital": F.max((F.col("source") == "digital").cast("int")).over(own), "has_full": F.max(full.cast("int")).over(own)})
     ocr_beaten = F.col("fld").isin(*dims.DIGITAL_FIRST) & (F.col("has_digital") == 1) & (F.col("source") != "digital")
     fragment = (F.col("fld") == "applicant_name") & (F.col("has_full") == 1) & ~full
-    return joined.filter(~ocr_beaten & ~fragment).drop("has_digital", "has_full")
+    return marked.filter(~ocr_beaten & ~fragment).drop("has_digital", "has_full")
 
 
 def parse_amount(raw: Column) -> Column:
@@ -145,8 +144,7 @@ def digital_names(pool: DataFrame, voted: DataFrame) -> DataFrame:
     from evidentia.functions.fuzzy import weighted_distance
 
     own = pool.filter((F.col("fld") == "applicant_name") & (F.col("source") == "digital")).withColumn("labelled", F.col("tier_x10").isin(20, 30, 50))
-    groups = own.groupBy("case_id").agg(F.max("labelled").alias("any_label"))
-    kept = own.join(groups, "case_id").filter(~F.col("any_label") | F.col("labelled"))
+    kept = own.withColumn("any_label", F.max("labelled").over(Window.partitionBy("case_id"))).filter(~F.col("any_label") | F.col("labelled"))
     one = kept.groupBy("case_id").agg(F.min("value").alias("digital"), F.max("value").alias("v1"), F.count(F.lit(1)).alias("n")).filter("digital = v1")
     both = one.join(voted.filter("fld = 'applicant_name'").select("case_id", F.col("value").alias("voted")), "case_id").filter("digital <> voted")
     sure = both.filter("n >= 2").select("case_id", F.col("digital").alias("value"))
@@ -158,6 +156,8 @@ def digital_names(pool: DataFrame, voted: DataFrame) -> DataFrame:
 
 def reconcile(candidates: DataFrame, fee_rows: DataFrame, flag_candidates: DataFrame, findings: DataFrame, cases: DataFrame) -> DataFrame:
     """One wide row for each packet of cases: value, conf_bp and known of each field, flags, finding, template, arrival_on_intake."""
+    # dealt out once by packet; every aggregation, window and join below asks for no other dealing
+    candidates, fee_rows, flag_candidates, findings, cases = (t.repartition("case_id") for t in (candidates, fee_rows, flag_candidates, findings, cases))
     pool = weighted(candidates)
     overriding = corrections(pool).withColumn("known", F.lit(True))
     contested = digital_first(pool.filter(F.col("fld") != "fee_status"))
