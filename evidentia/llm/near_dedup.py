@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.llm.arrow import map_slices, small_batches
@@ -309,38 +309,57 @@ def link(nodes: DataFrame, docs: DataFrame, work: Workspace, size: int, similari
     links = work.table("links1", confirm(tried, sets, similarity))
     comps = components(links, work, "cc1")
 
-    hubs = _hubs(large, links, comps, similarity)
+    hubs = _hubs(large, links, comps, similarity, work)
     rest = candidates.select("a", "b", "agree").join(tried, ["a", "b"], "left_anti")
     rest = work.table("rest", _between(rest.unionByName(hubs).groupBy("a", "b").agg(F.max("agree").alias("agree")), comps))
     one = lambda x, other: F.struct("agree", (-F.col(x)).alias("o"), (-F.col(other)).alias("p"))
     # of the candidates between a node and another component, the best first, for one link joins the components
     first = rest.groupBy("a", "cb").agg(F.max(one("a", "b")).alias("t")).select("a", (-F.col("t.p")).alias("b"))
     tried2 = work.table("tried2", first.distinct())
-    links = work.table("links2", links.unionByName(confirm(tried2, sets, similarity)).distinct())
-    comps = components(links, work, "cc2")
+    comps = _merged(comps, work.table("links2", confirm(tried2, sets, similarity)), work, "cc2")
     last = work.table("tried3", _between(rest.select("a", "b").join(tried2, ["a", "b"], "left_anti"), comps))
-    links = work.table("links3", links.unionByName(confirm(last, sets, similarity)).distinct())
-    return components(links, work, "cc3")
+    return _merged(comps, work.table("links3", confirm(last, sets, similarity)), work, "cc3")
 
 
-def _hubs(large: DataFrame, links: DataFrame, comps: DataFrame, similarity: float) -> DataFrame:
+def _merged(comps: DataFrame, links: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """comps after links join some of its components; only the components they touch are searched again."""
+    if links.isEmpty():
+        return comps
+    between = _between(links, comps).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    joined = components(between, work, name).select(F.col("id").alias("component"), F.col("component").alias("now"))
+    moved = comps.join(joined, "component", "left").select("id", F.coalesce("now", "component").alias("component"))
+    single = joined.join(comps.select(F.col("id").alias("component")), "component", "left_anti").select(F.col("component").alias("id"), F.col("now").alias("component"))
+    return work.table(f"{name}-merged", moved.unionAll(single))
+
+
+def _hubs(large: DataFrame, links: DataFrame, comps: DataFrame, similarity: float, work: Workspace) -> DataFrame:
     """a, b, agree: nodes of large regions with the region's HUBS best linked nodes, where these are of another component."""
     region = ["tree", "k0", "k1"]
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
-    members = large.distinct().join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    members = work.table("members", large.distinct().join(comps, "id", "left").withColumn("component", F.coalesce("component", "id")))
     split = members.groupBy(*region).agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select(*region)
-    # a region's best nodes by rounds of one pre-aggregated maximum each, never by sorting the region in one task
-    open_members = members.join(split, region)
-    ranked = open_members.join(degree, "id").select(*region, F.struct("degree", (-F.col("id")).alias("o"), "component", "n", "s0", "s1", "s2").alias("h"))
-    top, hubs = ranked, None
-    for _ in range(HUBS):
-        most = top.groupBy(*region).agg(F.max("h").alias("hub"))
-        hubs = most if hubs is None else hubs.unionByName(most)
-        top = top.join(most, region).filter("h < hub").select(*region, "h")
-    near = open_members.join(hubs, region).filter("component <> hub.component")
-    count = lambda i: F.bit_count((F.col(f"s{i}").bitwiseXOR(F.col(f"hub.s{i}"))).bitwiseOR(F.shiftrightunsigned(F.col(f"s{i}").bitwiseXOR(F.col(f"hub.s{i}")), 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    near = near.select(F.col("id").alias("x"), (-F.col("hub.o")).alias("y"), (F.lit(96) - count(0) - count(1) - count(2)).cast("int").alias("agree"), (100 * F.least("n", "hub.n") >= round(100 * similarity) * F.greatest("n", "hub.n")).alias("sized"))
-    return near.filter((F.col("agree") >= AGREE[similarity]) & F.col("sized")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "agree")
+    # each task keeps at most HUBS rows of a region before they are dealt out, so a large region's rows never meet in one
+    best = F.row_number().over(Window.partitionBy(*region).orderBy(F.desc("degree"), "id"))
+    top = members.join(degree, "id").withColumn("rn", best).filter(F.col("rn") <= HUBS)
+    hub = F.struct((-F.col("id")).alias("o"), "component", "n", "s0", "s1", "s2")
+    listed = top.groupBy(*region).agg(F.collect_list(hub).alias("hubs")).join(split, region)
+    # each node gets its regions' distinct hubs in a list of at most TREES * HUBS, and only those that may be similar become rows
+    own = F.struct("component", "n", "s0", "s1", "s2")
+    near = members.join(listed, region).groupBy(F.col("id").alias("x")).agg(F.max(own).alias("m"), F.array_distinct(F.flatten(F.collect_list("hubs"))).alias("hubs"))
+    hundredth = round(100 * similarity)
+
+    def agree(h: Column) -> Column:
+        differ = [F.col(f"m.s{i}").bitwiseXOR(h[f"s{i}"]) for i in range(3)]
+        counts = [F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555))) for d in differ]
+        return (F.lit(96) - counts[0] - counts[1] - counts[2]).cast("int")
+
+    def may(h: Column) -> Column:
+        sized = 100 * F.least(F.col("m.n"), h["n"]) >= hundredth * F.greatest(F.col("m.n"), h["n"])
+        return (h["component"] != F.col("m.component")) & sized & (agree(h) >= AGREE[similarity])
+
+    kept = F.transform(F.filter("hubs", may), lambda h: F.struct((-h["o"]).alias("y"), agree(h).alias("agree")))
+    pairs = near.select("x", F.explode(kept).alias("p"))
+    return pairs.select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b"), "p.agree")
 
 
 def dedup(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
