@@ -143,3 +143,12 @@ def test_later_passes_only_fill(spark):
     after = frame(spark, [case(home_world="Europa Station", visa_class="DIP-1")])
     (r,) = P.restore_guard(before, after).collect()
     assert (r.home_world_value, r.visa_class_value) == ("Europa Station", "MED-3")
+
+
+def test_tallies_of_a_run(spark):
+    from evidentia.plans.metrics import tallied
+
+    decided = P.decide(P.cascade(frame(spark, [case(), case(fee_status=None), case(fee_status="unpaid")])), dims.path_stats(spark))
+    out, seen = tallied(decided)
+    assert out.count() == 3
+    assert seen.get == {"rows": 3, "underdetermined": 1, "approved": 1, "denied": 1, "needs_review": 1}
