@@ -1,10 +1,13 @@
 """Written tables in the folder that driver and executors share.
 
-A plan that several later plans read is written once, so that a lost executor costs a read and not a recomputation.
+A plan that several later plans read is written once, so that a lost executor costs a read and not a recomputation. Results
+read these tables when they run, so whoever owns the folder clears it after the results are stored.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,7 +22,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='evidentia-')}"
+        folder = tempfile.mkdtemp(prefix="evidentia-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        root = f"file://{folder}"
         spark.conf.set(key, root)
     return root.rstrip("/")
 
