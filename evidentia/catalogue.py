@@ -68,7 +68,7 @@ def entry_case_decisions(spark, sf_dir):
 
 @query(sql("SELECT case_id, fld, value, score, conf_bp, source FROM voted"))
 def weighted_vote(spark, sf_dir):
-    return E.vote(E.weighted(carrier(spark, sf_dir, "candidates")))
+    return E.vote(E.weighted(carrier(spark, sf_dir, "candidates").repartition("case_id")))
 
 
 @query(sql("SELECT case_id, fld, value, conf_bp, source FROM corr"))
@@ -78,7 +78,7 @@ def correction_override(spark, sf_dir):
 
 @query(sql("SELECT case_id, fld, value, score, conf_bp, source FROM cvoted"))
 def digital_first_vote(spark, sf_dir):
-    return E.vote(E.digital_first(E.weighted(carrier(spark, sf_dir, "candidates"))))
+    return E.vote(E.digital_first(E.weighted(carrier(spark, sf_dir, "candidates").repartition("case_id"))))
 
 
 @query(sql("SELECT case_id, dv AS value FROM dig JOIN cvoted USING (case_id) WHERE fld = 'applicant_name' AND cvoted.value <> dv"))

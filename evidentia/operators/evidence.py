@@ -33,16 +33,21 @@ def weighted(candidates: DataFrame) -> DataFrame:
     return candidates.filter(F.col("value").isNotNull()).withColumn("weight", weight)
 
 
+#: Ordinals of a packet's candidates are below this.
+_ORDINALS = 1 << 40
+
+
 def vote(pool: DataFrame, keys: tuple[str, ...] = ("case_id", "fld")) -> DataFrame:
-    """keys, value, score, conf_bp, source: the value of the largest sum of weights, and its surest supporter.
+    """keys, value, score, conf_bp, source: the value of the largest sum of weights, and its surest supporter, the first of equals.
 
-    One shuffle by keys and value, a second by keys alone.
+    The supporter's confidence, ordinal and kind are one number, so the sums are hashed, not sorted. Where pool is dealt by
+    packet already, neither aggregation moves rows.
     """
-    sums = pool.groupBy(*keys, "value").agg(
-        F.sum("weight").alias("score"), F.min("cand_ord").alias("first_ord"),
-        F.max(F.struct("conf_bp", (-F.col("cand_ord")).alias("o"), "source")).alias("best"))
+    supporter = (F.col("conf_bp") * _ORDINALS + (_ORDINALS - 1 - F.col("cand_ord"))) * 2 + (F.col("source") == "digital").cast("long")
+    sums = pool.groupBy(*keys, "value").agg(F.sum("weight").alias("score"), F.min("cand_ord").alias("first_ord"), F.max(supporter).alias("best"))
     top = sums.groupBy(*keys).agg(F.max(F.struct("score", (-F.col("first_ord")).alias("o"), "value", "best")).alias("t"))
-    return top.select(*keys, "t.value", "t.score", "t.best.conf_bp", "t.best.source")
+    best = F.col("t.best")
+    return top.select(*keys, "t.value", "t.score", F.floor(best / (2 * _ORDINALS)).alias("conf_bp"), F.when(best % 2 == 1, "digital").otherwise("ocr").alias("source"))
 
 
 def corrections(pool: DataFrame) -> DataFrame:
