@@ -26,7 +26,7 @@ from evidentia.llm.arrow import map_slices, remainder, slices, small_batches
 from evidentia.llm.textscan import ALNUM, Words, utf8
 
 #: Documented bound of the training sample, and on the terms the machine knows.
-TRAIN_ROWS = 40_000
+TRAIN_ROWS = 20_000
 TERMS = 4096
 BUCKETS = 1 << 24
 #: Latent factors; steps over the whole sample; their size; pull towards 0.
