@@ -133,7 +133,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """docs: doc_id and text of rows that may teach; labels: doc_id and toxic. Fitted in one task over at most rows texts."""
     small_batches(docs.sparkSession)
     marked = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    place = F.xxhash64("doc_id")
+    total = marked.count()
+    if total > 4 * rows:  # the smallest hashes lie below twice their expected bound, so few rows of each task are sorted
+        marked = marked.filter(place < int(-(2.0**63) + 2.0**64 * 2 * rows / total))
+    chosen = marked.orderBy(place, "doc_id").limit(rows)
 
     def to_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -137,3 +137,15 @@ def test_labels_of_one_kind_or_none(spark, marks):
     got = toxicity.predict(docs, toxicity.train(docs, spark.createDataFrame(marks, "doc_id long, toxic int")), ["doc_id"]).collect()
     assert {r.predicted for r in got} == {int(bool(marks) and marks[0][1])}
     assert toxicity.predict(docs.limit(0), toxicity.train(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int")), ["doc_id"]).count() == 0
+
+
+def test_a_bounded_sample_is_the_same_by_either_way(spark):
+    rows, labels = labelled(600)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    from pyspark.sql import functions as F
+
+    few = {r.doc_id for r in marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(100).collect()}
+    model = toxicity.train(docs, marks, rows=100)
+    alone = toxicity.train(docs, marks.filter(F.col("doc_id").isin(*few)), rows=10_000)
+    assert (model.terms == alone.terms).all() and model.w0 == alone.w0 and (model.w == alone.w).all()
