@@ -236,6 +236,8 @@ class Request:
         context, word, heat = context[first], word[first], heat[first]
         self.count = np.bincount(of, weights=chunk.teaches, minlength=len(first)).astype(np.int64)
         self.lower = below.p[below.of][first]
+        # a word's count stands for its P1, in a fraction of the bytes
+        self.sent = below.count[below.of][first] if order == 2 else self.lower
         self.is_hot = heat > model.hot
         part = part_of(mix(context), model.bits)
         fan = np.minimum(heat // max(1, model.hot) + 1, 1 << model.bits)
@@ -246,7 +248,7 @@ class Request:
         rank[order_by] = np.arange(len(order_by))
         self.of = rank[of]
         self.part, self.context, self.word = part[order_by], context[order_by], word[order_by]
-        self.count, self.lower, self.is_hot = self.count[order_by], self.lower[order_by], self.is_hot[order_by]
+        self.count, self.lower, self.sent, self.is_hot = self.count[order_by], self.lower[order_by], self.sent[order_by], self.is_hot[order_by]
         new = np.ones(len(order_by), dtype=bool)
         new[1:] = (self.part[1:] != self.part[:-1]) | (self.context[1:] != self.context[:-1])
         self.run_starts = np.flatnonzero(new)
@@ -262,7 +264,7 @@ class Request:
         starts = self.run_starts[runs]
         lengths = np.diff(np.append(starts, own.stop))
         taught = self.count[own] > 0
-        return frame(pack(self.context[starts], rising=True), pack(lengths), pack(self.is_hot[starts].astype(np.uint8)), pack(self.word[own]), pack(self.count[own]), pack(self.lower[own][taught]))
+        return frame(pack(self.context[starts], rising=True), pack(lengths), pack(self.is_hot[starts].astype(np.uint8)), pack(self.word[own]), pack(self.count[own]), pack(self.sent[own][taught]))
 
 
 def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -300,8 +302,11 @@ def answer_words(table: pa.Table) -> pa.Table:
     return rows(["answer"] * len(out) + ["stats"], [*chunks, ""], [part] * (len(out) + 1), [*out, frame(pack(stats))])
 
 
-def answer_grams(table: pa.Table, numbered: bool) -> pa.Table:
-    """A part of a higher order: counts, sums of contexts and, if numbered, numbers for each chunk; statistics; hot contexts' sums."""
+def answer_grams(table: pa.Table, numbered: bool, tokens: int, counts_of_counts: np.ndarray) -> pa.Table:
+    """A part of a higher order: counts, sums of contexts and, if numbered, numbers for each chunk; statistics; hot contexts' sums.
+
+    Requests of order 2 come with words' counts, others with lower probabilities.
+    """
     part, chunks = table.column("part")[0].as_py(), table.column("chunk").to_pylist()
     asked = [list(map(unpack, unframe(raw))) for raw in table.column("data").to_pylist()]
     context = np.concatenate([np.repeat(a[0], a[1].astype(np.int64)) for a in asked])
@@ -311,7 +316,8 @@ def answer_grams(table: pa.Table, numbered: bool) -> pa.Table:
     count = np.bincount(of, weights=counts, minlength=len(first)).astype(np.int64)
     lower = np.zeros(len(first))
     taught = np.flatnonzero(counts > 0)
-    lower[of[taught]] = np.concatenate([a[5] for a in asked])
+    sent = np.concatenate([a[5] for a in asked])
+    lower[of[taught]] = sent if sent.dtype == np.float64 else unigram(sent.astype(np.int64), tokens, counts_of_counts)
     contexts, run = np.unique(context[first], return_inverse=True)
     n = len(contexts)
     low = np.stack([np.bincount(run[count == r], minlength=n) for r in range(1, CUTOFF + 1)], axis=1).astype(float)
@@ -333,8 +339,9 @@ def answer_grams(table: pa.Table, numbered: bool) -> pa.Table:
     return rows(kinds, [*chunks, *[""] * (len(data) - len(out))], [part] * len(data), data)
 
 
-def grams_answerer(numbered: bool) -> Callable[[pa.Table], pa.Table]:
-    return lambda table: answer_grams(table, numbered)
+def grams_answerer(numbered: bool, model: Model) -> Callable[[pa.Table], pa.Table]:
+    tokens, counts = model.tokens, model.counts[1]
+    return lambda table: answer_grams(table, numbered, tokens, counts)
 
 
 # ---------------------------------------------------------------- passes
@@ -509,7 +516,7 @@ def score(docs: DataFrame, order: int = ORDER, part_grams: int = PART_GRAMS, hot
         statistics(model, 1, answered[1])
         for n in range(2, order + 1):
             asked = gather(index, answered, work, model, n - 1, ask_grams, _ROW, asks=True)
-            answered[n] = work.table(f"order{n}", asked.repartition(parts, "part").groupBy("part").applyInArrow(grams_answerer(n < order), _ROW), ["kind"])
+            answered[n] = work.table(f"order{n}", asked.repartition(parts, "part").groupBy("part").applyInArrow(grams_answerer(n < order, model), _ROW), ["kind"])
             statistics(model, n, answered[n])
 
     tokens, vocabulary = model.tokens, model.vocabulary
