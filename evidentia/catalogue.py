@@ -81,10 +81,10 @@ def digital_first_vote(spark, sf_dir):
     return E.vote(E.digital_first(E.weighted(carrier(spark, sf_dir, "candidates").repartition("case_id"))))
 
 
-@query(sql("SELECT case_id, dv AS value FROM dig JOIN cvoted USING (case_id) WHERE fld = 'applicant_name' AND cvoted.value <> dv"))
+@query(sql("SELECT case_id, fld, value, conf_bp, known FROM named"))
 def digital_name_choice(spark, sf_dir):
-    contested = E.digital_first(E.weighted(carrier(spark, sf_dir, "candidates")))
-    return E.digital_names(contested, E.vote(contested))
+    """Each field's settled value; digital names that agree outdo the vote."""
+    return E.settle(E.digital_first(E.weighted(carrier(spark, sf_dir, "candidates").repartition("case_id"))))
 
 
 @query(sql("SELECT case_id, page_index, verdict, conf_bp, weight FROM feep"))

@@ -37,14 +37,18 @@ def weighted(candidates: DataFrame) -> DataFrame:
 _ORDINALS = 1 << 40
 
 
+def _supporter() -> Column:
+    """Confidence, ordinal and kind of a supporter as one number; the surest is the largest, the first of equals."""
+    return (F.col("conf_bp") * _ORDINALS + (_ORDINALS - 1 - F.col("cand_ord"))) * 2 + (F.col("source") == "digital").cast("long")
+
+
 def vote(pool: DataFrame, keys: tuple[str, ...] = ("case_id", "fld")) -> DataFrame:
     """keys, value, score, conf_bp, source: the value of the largest sum of weights, and its surest supporter, the first of equals.
 
     The supporter's confidence, ordinal and kind are one number, so the sums are hashed, not sorted. Where pool is dealt by
     packet already, neither aggregation moves rows.
     """
-    supporter = (F.col("conf_bp") * _ORDINALS + (_ORDINALS - 1 - F.col("cand_ord"))) * 2 + (F.col("source") == "digital").cast("long")
-    sums = pool.groupBy(*keys, "value").agg(F.sum("weight").alias("score"), F.min("cand_ord").alias("first_ord"), F.max(supporter).alias("best"))
+    sums = pool.groupBy(*keys, "value").agg(F.sum("weight").alias("score"), F.min("cand_ord").alias("first_ord"), F.max(_supporter()).alias("best"))
     top = sums.groupBy(*keys).agg(F.max(F.struct("score", (-F.col("first_ord")).alias("o"), "value", "best")).alias("t"))
     best = F.col("t.best")
     return top.select(*keys, "t.value", "t.score", F.floor(best / (2 * _ORDINALS)).alias("conf_bp"), F.when(best % 2 == 1, "digital").otherwise("ocr").alias("source"))
@@ -140,23 +144,30 @@ def findings_of(findings: DataFrame) -> DataFrame:
         F.when(one, F.col("t.label")).alias("template_label"), F.when(one, F.col("t.template")).alias("template"), F.when(one, F.col("t.conf_bp")).alias("template_conf_bp"))
 
 
-def digital_names(pool: DataFrame, voted: DataFrame) -> DataFrame:
-    """case_id, value: names in which agreeing digital rows outdo the vote.
+def settle(contested: DataFrame) -> DataFrame:
+    """case_id, fld, value, conf_bp, known: each field's vote, and for names the digital reading where it outdoes the vote.
 
-    Labelled rows count before prose; two or more digital rows of one value win, and one wins over a value that differs
-    from it by at most 0.15 of its length.
+    Labelled rows count before prose; digital rows of one value win if there are two or more, and one alone wins over a
+    voted value that differs from it by at most 0.15 of its length. A value is known if its surest supporter is digital
+    or sure enough. One pass: what the choice needs is summed with the votes.
     """
     from evidentia.functions.fuzzy import weighted_distance
 
-    own = pool.filter((F.col("fld") == "applicant_name") & (F.col("source") == "digital")).withColumn("labelled", F.col("tier_x10").isin(20, 30, 50))
-    kept = own.withColumn("any_label", F.max("labelled").over(Window.partitionBy("case_id"))).filter(~F.col("any_label") | F.col("labelled"))
-    one = kept.groupBy("case_id").agg(F.min("value").alias("digital"), F.max("value").alias("v1"), F.count(F.lit(1)).alias("n")).filter("digital = v1")
-    both = one.join(voted.filter("fld = 'applicant_name'").select("case_id", F.col("value").alias("voted")), "case_id").filter("digital <> voted")
-    sure = both.filter("n >= 2").select("case_id", F.col("digital").alias("value"))
-    close = both.filter("n = 1")
-    pairs = close.select(F.lower("digital").alias("x"), F.lower("voted").alias("y")).distinct().withColumn("d", weighted_distance("x", "y"))
-    near = close.join(pairs, (F.lower("digital") == F.col("x")) & (F.lower("voted") == F.col("y"))).filter(F.col("d") <= 0.15 * F.greatest(F.length("digital"), F.length("voted")))
-    return sure.unionByName(near.select("case_id", F.col("digital").alias("value")))
+    digital = F.col("source") == "digital"
+    labelled = digital & F.col("tier_x10").isin(20, 30, 50)
+    sums = contested.groupBy("case_id", "fld", "value").agg(F.sum("weight").alias("score"), F.min("cand_ord").alias("first_ord"), F.max(_supporter()).alias("best"), F.count_if(labelled).alias("n_lab"), F.count_if(digital).alias("n_dig"))
+    of = lambda n, c: F.when(F.col(n) > 0, F.col(c))
+    single = [f(of(n, c)).alias(f"{k}{n}") for n in ("n_lab", "n_dig") for k, f, c in (("lo_", F.min, "value"), ("hi_", F.max, "value"), ("best_", F.max, "best"))]
+    top = sums.groupBy("case_id", "fld").agg(F.max(F.struct("score", (-F.col("first_ord")).alias("o"), "value", "best")).alias("t"), F.sum("n_lab").alias("labelled"), F.sum("n_dig").alias("digital"), *single)
+    pick = lambda k: F.when(F.col("labelled") > 0, F.col(f"{k}n_lab")).otherwise(F.col(f"{k}n_dig"))
+    rival = F.when((F.col("fld") == "applicant_name") & (pick("lo_") == pick("hi_")) & (pick("lo_") != F.col("t.value")), pick("lo_"))
+    rows = top.withColumns({"rival": rival, "rivals": F.when(F.col("labelled") > 0, F.col("labelled")).otherwise(F.col("digital")), "rival_best": pick("best_")})
+    lone = F.when(F.col("rivals") == 1, F.lower("rival"))  # null for all others, for which nothing is computed
+    rows = rows.withColumn("far", weighted_distance(lone, F.lower("t.value")))
+    wins = F.coalesce(F.col("rival").isNotNull() & ((F.col("rivals") >= 2) | (F.col("far") <= 0.15 * F.greatest(F.length("rival"), F.length("t.value")))), F.lit(False))
+    best = F.when(wins, F.col("rival_best")).otherwise(F.col("t.best"))
+    conf = F.floor(best / (2 * _ORDINALS))
+    return rows.select("case_id", "fld", F.when(wins, F.col("rival")).otherwise(F.col("t.value")).alias("value"), conf.alias("conf_bp"), ((best % 2 == 1) | (conf >= dims.KNOWN_LEAST)).alias("known"))
 
 
 def reconcile(candidates: DataFrame, fee_rows: DataFrame, flag_candidates: DataFrame, findings: DataFrame, cases: DataFrame) -> DataFrame:
@@ -165,15 +176,7 @@ def reconcile(candidates: DataFrame, fee_rows: DataFrame, flag_candidates: DataF
     candidates, fee_rows, flag_candidates, findings, cases = (t.repartition("case_id") for t in (candidates, fee_rows, flag_candidates, findings, cases))
     pool = weighted(candidates)
     overriding = corrections(pool).withColumn("known", F.lit(True))
-    contested = digital_first(pool.filter(F.col("fld") != "fee_status"))
-    voted = vote(contested)
-    named = digital_names(contested, voted).withColumn("fld", F.lit("applicant_name")).withColumnRenamed("value", "digital_value")
-    support = contested.filter("fld = 'applicant_name' AND source = 'digital'").groupBy("case_id", "fld", "value").agg(F.max("conf_bp").alias("digital_conf"))
-    voted = voted.join(named, ["case_id", "fld"], "left").join(support.withColumnRenamed("value", "digital_value"), ["case_id", "fld", "digital_value"], "left")
-    swapped = F.col("digital_value").isNotNull()
-    voted = voted.select(
-        "case_id", "fld", F.coalesce("digital_value", "value").alias("value"), F.when(swapped, F.col("digital_conf")).otherwise(F.col("conf_bp")).alias("conf_bp"),
-        (swapped | (F.col("source") == "digital") | (F.col("conf_bp") >= dims.KNOWN_LEAST)).alias("known"))
+    voted = settle(digital_first(pool.filter(F.col("fld") != "fee_status")))
     fees = resolve_fee(fee_rows).select("case_id", F.lit("fee_status").alias("fld"), "value", "conf_bp", F.lit(True).alias("known"))
     names = ["case_id", "fld", "value", "conf_bp", "known"]
     ruled = overriding.select(*names, F.lit(1).alias("rank")).unionByName(voted.unionByName(fees).select(*names, F.lit(0).alias("rank")))

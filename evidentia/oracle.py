@@ -39,10 +39,10 @@ _STEPS: dict[str, str] = {
           SELECT *, tier_x10 IN (20, 30, 50) AS lab, max((tier_x10 IN (20, 30, 50))::INT) OVER (PARTITION BY case_id) AS anylab
           FROM contested WHERE fld = 'applicant_name' AND source = 'digital')
         WHERE lab OR anylab = 0 GROUP BY case_id HAVING min(value) = max(value) AND count(*) >= 2""",
-    "digconf": "SELECT case_id, value, max(conf_bp) AS dconf FROM contested WHERE fld = 'applicant_name' AND source = 'digital' GROUP BY 1, 2",
+    "digconf": "SELECT case_id, value, max(conf_bp) AS dconf, first(source ORDER BY conf_bp DESC, cand_ord) AS dsource FROM contested WHERE fld = 'applicant_name' GROUP BY 1, 2",
     "named": f"""SELECT v.case_id, v.fld, CASE WHEN d.dv IS NOT NULL AND v.fld = 'applicant_name' AND d.dv <> v.value THEN d.dv ELSE v.value END AS value,
           CASE WHEN d.dv IS NOT NULL AND v.fld = 'applicant_name' AND d.dv <> v.value THEN c.dconf ELSE v.conf_bp END AS conf_bp,
-          ((d.dv IS NOT NULL AND v.fld = 'applicant_name' AND d.dv <> v.value) OR v.source = 'digital' OR v.conf_bp >= {dims.KNOWN_LEAST}) AS known
+          CASE WHEN d.dv IS NOT NULL AND v.fld = 'applicant_name' AND d.dv <> v.value THEN c.dsource = 'digital' OR c.dconf >= {dims.KNOWN_LEAST} ELSE v.source = 'digital' OR v.conf_bp >= {dims.KNOWN_LEAST} END AS known
         FROM cvoted v LEFT JOIN dig d ON d.case_id = v.case_id LEFT JOIN digconf c ON c.case_id = v.case_id AND c.value = d.dv""",
     "st": "SELECT case_id, page_index, first(status ORDER BY conf_bp DESC, cand_ord) AS status, first(conf_bp ORDER BY conf_bp DESC, cand_ord) AS conf_bp, first(tier_x10 ORDER BY conf_bp DESC, cand_ord) AS tier_x10 FROM fee WHERE status IS NOT NULL GROUP BY 1, 2",
     "am": "SELECT case_id, page_index, first(amount_raw ORDER BY conf_bp DESC, cand_ord) AS amount_raw, first(conf_bp ORDER BY conf_bp DESC, cand_ord) AS conf_bp, first(tier_x10 ORDER BY conf_bp DESC, cand_ord) AS tier_x10 FROM fee WHERE amount_raw IS NOT NULL GROUP BY 1, 2",

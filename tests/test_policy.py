@@ -152,3 +152,19 @@ def test_tallies_of_a_run(spark):
     out, seen = tallied(decided)
     assert out.count() == 3
     assert seen.get == {"rows": 3, "underdetermined": 1, "approved": 1, "denied": 1, "needs_review": 1}
+
+
+@pytest.mark.parametrize(("digital", "want"), [
+    ([("Aririx lxozarn", 20)], ("Aririx lxozarn", 40, True)),  # alone, but close to the vote
+    ([("Nexkesh Oriul", 20)], ("Aririx Ixozarn", 90, True)),  # alone and far
+    ([("Nexkesh Oriul", 20), ("Nexkesh Oriul", 30)], ("Nexkesh Oriul", 40, True)),
+    ([("Nexkesh Oriul", 40), ("Nexkesh Oriul", 40), ("Solmora Tekix", 50)], ("Aririx Ixozarn", 90, True)),  # a labelled row before prose
+    ([("Nexkesh Oriul", 20), ("Solmora Tekix", 20)], ("Aririx Ixozarn", 90, True)),
+    ([], ("Aririx Ixozarn", 90, True)),
+])
+def test_digital_names_outdo_the_vote_only_when_safe(spark, digital, want):
+    ship(spark)
+    rows = [("c", i, i, "applicant_name", "Aririx Ixozarn", 20, "ocr", 90) for i in range(3)] + [("c", 10 + i, 5, "applicant_name", v, t, "digital", 40) for i, (v, t) in enumerate(digital)]
+    frame = spark.createDataFrame(rows, "case_id string, cand_ord long, page_index int, fld string, value string, tier_x10 int, source string, conf_bp int")
+    (r,) = E.settle(E.digital_first(E.weighted(frame))).collect()
+    assert (r.value, r.conf_bp, r.known) == want
