@@ -7,7 +7,9 @@ minima gives TREES sorted orders; a region is a run of nodes that share at least
 * all pairs of a region of at most REGION nodes;
 * in a larger region, all pairs of those of its parts that one more minimum, or two or three, cut down to REGION nodes, so
   that depth adapts to each region; and each node's WINDOW neighbours before it, whose common prefixes are longest;
-* in a larger region whose nodes still fall into several components, each node with the region's best linked nodes.
+* in a larger region whose nodes still fall into several components, each node with the region's best linked nodes; and, in
+  what is still split after that, all pairs of different components that share one of their rarest shingles. Two sets that are
+  similar enough share one among a fixed part of their rarest, so within larger regions no link between components is lost.
 
 The orders are dealt out by ranges of the sorted order itself, so no region, however hot, lies in one task; runs at the ends
 of ranges are joined in a second, small pass. Candidates whose signatures make a similarity of 0.8 all but impossible are
@@ -43,6 +45,10 @@ AGREE = {0.8: 66}
 ROWS = 300_000
 #: Bits of the filter that tells which texts are read again; its size does not depend on the data.
 FILTER_BITS = 25
+#: Bits of the table of shingle counts that puts the rarest first; its size does not depend on the data.
+COUNT_BITS = 21
+#: Nodes of a shingle that meet in a task, about; those of more common ones meet block by block.
+BLOCK = 2048
 
 _A, _B = (keys(TREES * DEPTH, s).astype(np.uint32) | np.uint32(1) for s in (11, 12))
 
@@ -309,16 +315,28 @@ def link(nodes: DataFrame, docs: DataFrame, work: Workspace, size: int, similari
     links = work.table("links1", confirm(tried, sets, similarity))
     comps = components(links, work, "cc1")
 
+    one = lambda x, other: F.struct("agree", (-F.col(x)).alias("o"), (-F.col(other)).alias("p"))
+
+    def exhaust(rest: DataFrame, comps: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+        """comps after all links among rest, and what was tried."""
+        # of the candidates between a node and another component, the best first, for one link joins the components
+        first = rest.groupBy("a", "cb").agg(F.max(one("a", "b")).alias("t")).select("a", (-F.col("t.p")).alias("b"))
+        first = work.table(f"tried{k}", first.distinct())
+        comps = _merged(comps, work.table(f"links{k}", confirm(first, sets, similarity)), work, f"cc{k}")
+        last = work.table(f"tried{k + 1}", _between(rest.select("a", "b").join(first, ["a", "b"], "left_anti"), comps))
+        return _merged(comps, work.table(f"links{k + 1}", confirm(last, sets, similarity)), work, f"cc{k + 1}"), first.unionAll(last.select("a", "b"))
+
     hubs = _hubs(large, links, comps, similarity, work)
     rest = candidates.select("a", "b", "agree").join(tried, ["a", "b"], "left_anti")
     rest = work.table("rest", _between(rest.unionByName(hubs).groupBy("a", "b").agg(F.max("agree").alias("agree")), comps))
-    one = lambda x, other: F.struct("agree", (-F.col(x)).alias("o"), (-F.col(other)).alias("p"))
-    # of the candidates between a node and another component, the best first, for one link joins the components
-    first = rest.groupBy("a", "cb").agg(F.max(one("a", "b")).alias("t")).select("a", (-F.col("t.p")).alias("b"))
-    tried2 = work.table("tried2", first.distinct())
-    comps = _merged(comps, work.table("links2", confirm(tried2, sets, similarity)), work, "cc2")
-    last = work.table("tried3", _between(rest.select("a", "b").join(tried2, ["a", "b"], "left_anti"), comps))
-    return _merged(comps, work.table("links3", confirm(last, sets, similarity)), work, "cc3")
+    comps, tried2 = exhaust(rest, comps, 2)
+
+    stuck = work.table("stuck", _split(large, comps))
+    if stuck.isEmpty():
+        return comps
+    rare = _rarest(stuck, sets, similarity, ranges, work).join(tried.unionAll(tried2), ["a", "b"], "left_anti")
+    return exhaust(work.table("rare", _between(rare, comps)), comps, 5)[0]
+
 
 
 def _merged(comps: DataFrame, links: DataFrame, work: Workspace, name: str) -> DataFrame:
@@ -362,6 +380,134 @@ def _hubs(large: DataFrame, links: DataFrame, comps: DataFrame, similarity: floa
     return pairs.select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b"), "p.agree")
 
 
+def _split(large: DataFrame, comps: DataFrame) -> DataFrame:
+    """id, component, s0 to s2 of the nodes of large regions whose nodes fall into several components."""
+    region = ["tree", "k0", "k1"]
+    members = large.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = members.groupBy(*region).agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select(*region)
+    return members.join(split, region).select("id", "component", "s0", "s1", "s2").distinct()
+
+
+def _counts(sets: DataFrame) -> np.ndarray:
+    """In how many of the sets a shingle is, at least, by its lowest COUNT_BITS bits; shingles with the same bits add up."""
+    slices = 64
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for batch in batches:
+            for raw in batch.column("set").to_pylist():
+                np.add.at(total, (unpack(raw) & np.uint64(len(total) - 1)).astype(np.int64), 1)
+        if total.any():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array(np.arange(slices, dtype=np.int32)), "data": pa.array([pack(x) for x in total.reshape(slices, -1)], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros((1 << COUNT_BITS) // slices, np.uint64)
+        for raw in table.column("data").to_pylist():
+            total += unpack(raw)
+        return pa.table({"slice": table.column("slice").slice(0, 1), "data": pa.array([pack(total)], pa.binary())})
+
+    schema = "slice int, data binary"
+    out = np.zeros((slices, (1 << COUNT_BITS) // slices), np.int64)
+    for row in sets.select("set").mapInArrow(count, schema).groupBy("slice").applyInArrow(lambda t: add(t), schema).collect():  # 64 rows
+        out[row["slice"]] = unpack(bytes(row["data"]))
+    return out.ravel()
+
+
+_RARE = "token bigint, low int, high int, block int, component bigint, id bigint, n int, place int, s0 bigint, s1 bigint, s2 bigint"
+
+
+def _rarest(stuck: DataFrame, sets: DataFrame, similarity: float, ranges: int, work: Workspace) -> DataFrame:
+    """a, b, agree: all pairs of nodes of different components that share one of their rarest shingles and may be similar.
+
+    In any fixed order of shingles, sets x and y of at most x's size that are similar enough share one of x's first
+    n - ceil(s n) + 1 and y's first n - ceil(2 s n / (1 + s)) + 1. The nodes of a common shingle are dealt into blocks, of
+    which every two meet, so that none lie in one task.
+    """
+    hundredth = round(100 * similarity)
+    own = work.table("own", sets.join(stuck, sets["doc_id"] == stuck["id"]).select("id", "component", "s0", "s1", "s2", "set"))
+    shared = stuck.sparkSession.sparkContext.broadcast(_counts(own))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            lead = mix(ids.view(np.uint64))
+            for at in range(0, batch.num_rows, 256):
+                rows, token, place, size, count = [], [], [], [], []
+                for i, raw in enumerate(batch.column("set").slice(at, 256).to_pylist(), at):
+                    t = unpack(raw)
+                    c = shared.value[(t & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)]
+                    order = np.lexsort((t, c))[: len(t) + 1 + -hundredth * len(t) // 100]
+                    p = np.flatnonzero(c[order] > 1)  # one that is in one set only is shared by none
+                    token.append(t[order[p]])
+                    place.append(p)
+                    count.append(c[order[p]])
+                    rows.append(np.full(len(p), i))
+                    size.append(np.full(len(p), len(t)))
+                row, n_blocks = np.concatenate(rows), -(-np.concatenate(count) // BLOCK)
+                each = np.repeat(np.arange(len(row)), n_blocks)
+                other = np.arange(len(each)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
+                block = (lead[row[each]] % n_blocks[each].astype(np.uint64)).astype(np.int64)
+                out = {"token": np.concatenate(token)[each].view(np.int64), "low": np.minimum(block, other), "high": np.maximum(block, other), "block": block, "n": np.concatenate(size)[each], "place": np.concatenate(place)[each]}
+                kept = batch.select(["component", "id", "s0", "s1", "s2"]).take(pa.array(row[each]))
+                yield pa.RecordBatch.from_pydict({k: kept.column(k) if k not in out else pa.array(out[k].astype(np.int64 if t == "bigint" else np.int32)) for k, t in (x.split() for x in _RARE.split(", "))})
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            cols = {k: batch.column(k).to_numpy() for k in batch.schema.names}
+            held = {k: np.concatenate([held[k], v]) for k, v in cols.items()} if held else cols
+            if not len(held["id"]):
+                continue
+            last = np.ones(len(held["id"]), dtype=bool)
+            for k in ("token", "low", "high"):
+                last &= held[k] == held[k][-1]
+            end = int(np.argmax(last))  # the last group may go on in the next batch
+            yield from _meetings(_take(held, np.arange(end)), similarity)
+            held = _take(held, np.arange(end, len(last)))
+        if held:
+            yield from _meetings(held, similarity)
+
+    keys_by = ["token", "low", "high"]
+    dealt = own.mapInArrow(deal, _RARE).repartition(ranges, *keys_by).sortWithinPartitions(*keys_by, "component")
+    return work.table("met", dealt.mapInArrow(meet, "a bigint, b bigint, agree int")).groupBy("a", "b").agg(F.max("agree").alias("agree"))
+
+
+def _meetings(cols: dict[str, np.ndarray], similarity: float) -> Iterator[pa.RecordBatch]:
+    """a, b, agree of whole groups of rows of _RARE, in the order of token, low, high and component."""
+    size = len(cols["id"])
+    if size < 2:
+        return
+    hundredth = round(100 * similarity)
+    new = np.ones(size, dtype=bool)
+    new[1:] = False
+    for k in ("token", "low", "high"):
+        new[1:] |= cols[k][1:] != cols[k][:-1]
+    end = np.append(np.flatnonzero(new)[1:], size)[np.cumsum(new) - 1]
+    new[1:] |= cols["component"][1:] != cols["component"][:-1]
+    other = np.append(np.flatnonzero(new)[1:], size)[np.cumsum(new) - 1]  # where the row's group has its next component
+    n = cols["n"].astype(np.int64)
+    left = n - cols["place"]
+    listed = cols["place"] <= n + -2 * hundredth * n // (100 + hundredth)
+    s = np.stack([cols[f"s{i}"].view(np.uint64) for i in range(3)], axis=1)
+    i = np.flatnonzero(other < end)
+    k = 0
+    while len(i):
+        j = other[i] + k
+        x, y = n[i], n[j]
+        less = (x < y) | ((x == y) & (cols["id"][i] < cols["id"][j]))
+        good = (cols["low"][i] == cols["high"][i]) | (cols["block"][i] != cols["block"][j])
+        good &= (100 * np.minimum(x, y) >= hundredth * np.maximum(x, y)) & np.where(less, listed[i], listed[j])
+        good &= (100 + hundredth) * np.minimum(left[i], left[j]) >= hundredth * (x + y)
+        a, b = i[good], j[good]
+        agree = agreement(s[a], s[b])
+        near = agree >= AGREE[similarity]
+        a, b = cols["id"][a[near]], cols["id"][b[near]]
+        if len(a):
+            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b)), "agree": pa.array(agree[near].astype(np.int32))})
+        k += 1
+        i = i[other[i] + k < end[i]]
+
+
 def dedup(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text)."""
     small_batches(docs.sparkSession)

@@ -80,6 +80,29 @@ def test_components_equal_all_pairs(spark):
             assert r.kept == (r.doc_id == r.component_id)
 
 
+def passages():
+    """Texts of one shared passage and words of their own; every thirtieth has a pair of about 0.82, with which alone it is linked."""
+    rng = random.Random(21)
+    passage = [f"p{i}" for i in range(160)]
+    rows = []
+    for i in range(1200):
+        own = [f"u{i}_{k}" for k in range(38)]
+        rows.append((i, " ".join(passage + own)))
+        if i % 30 == 0:
+            rows.append((5000 + rng.randrange(10**6), " ".join(passage + own[:17] + [f"v{i}_{k}" for k in range(21)])))
+    return rows
+
+
+def test_pairs_in_a_family_that_shares_a_passage(spark, monkeypatch):
+    rows = passages()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = plain(rows)
+    assert len(set(want.values())) == 1200
+    for block in (near_dedup.BLOCK, 100):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        assert {r.doc_id: r.component_id for r in near_dedup.query(docs).collect()} == want
+
+
 def test_sets_of_a_full_batch():
     texts = [f"a b c d e{i}" for i in range(512)]
     values, at = near_dedup.shingle_sets(pa.array(texts), 4)
