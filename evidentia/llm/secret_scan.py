@@ -29,8 +29,8 @@ HEX = r"[0-9a-f]+"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
 #: Weak candidates, by role.
-IDENT = r"(?<![A-Za-z0-9+/=])(?=[0-9]*[A-Z])(?=[A-Z]*[0-9])[A-Z0-9]{16,40}(?![A-Za-z0-9+/=])"
-KEY = r"(?<![A-Za-z0-9+/=])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=])"
+IDENT = r"(?<![A-Za-z0-9+/])(?=[0-9]*[A-Z])(?=[A-Z]*[0-9])[A-Z0-9]{16,40}(?![A-Za-z0-9+/=])"
+KEY = r"(?<![A-Za-z0-9+/])(?=[A-Za-z+/]*[0-9])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=])"
 HOST = r"https?://[A-Za-z0-9.-]+(?::[0-9]{1,5})?|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?::[0-9]{1,5})?(?![0-9.])"
 #: Kinds in the order of ties, and each one's role.
 KINDS = ("assign", "access", "hex", "ident", "key", "host")

@@ -102,6 +102,19 @@ def test_weak_parts_need_all_roles_in_scope(spark):
     assert spans[8] == "" and spans[2] == ""
 
 
+@pytest.mark.parametrize("sep", ["=", " = ", ": "])
+@pytest.mark.parametrize("between", ["\n", "&"])
+def test_weak_parts_stand_after_operators(spark, sep, between):
+    parts = {"ACCESS_KEY_ID": "ASIA1234567890ABCDEF", "SECRET_ACCESS_KEY": "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEYab", "ENDPOINT": "https://s3.example.com"}
+    text = between.join(k + sep + v for k, v in parts.items())
+    frame = spark.createDataFrame(rows([text]), SCHEMA)
+    (got,) = secret_scan.query(frame).collect()
+    want = [f"{k}:{text.index(v)}:{text.index(v) + len(v)}" for k, v in zip(("ident", "key", "host"), parts.values(), strict=True)]
+    assert got.spans == ",".join(want)
+    (kept,) = secret_scan.redact(frame).collect()
+    assert kept.text == between.join(f"{k}{sep}[SECRET]" for k in parts)
+
+
 def test_redaction_masks_every_span_and_keeps_the_rest(spark):
     frame = spark.createDataFrame([(*r, "mine") for r in rows(SECRETS)], SCHEMA + ", base string")
     got = {r.doc_id: r for r in secret_scan.redact(frame).collect()}
