@@ -40,7 +40,7 @@ from evidentia.llm.media_store import filesystem
 from evidentia.llm.textscan import Words, mix, utf8
 from evidentia.plans.workspace import Workspace
 
-ORDER = 2
+ORDER = 3
 CUTOFF = 5
 CHUNK_BYTES = 8 << 20
 #: Distinct n-grams of all chunks in a part, about.

@@ -91,6 +91,14 @@ def test_scores_equal_plain_evaluation(spark, order, options):
         assert abs(r.score - plain.score(texts[i])) < 1e-7 * max(1, abs(r.score))
 
 
+def test_query_scores_by_trigrams(spark):
+    texts = [t or "" for t in corpus()]
+    held = {i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 10 == 0}
+    plain = Plain([t for i, t in enumerate(texts) if i not in held], 3)
+    for r in katz.query(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert abs(r.score - plain.score(texts[r.doc_id])) < 1e-7 * max(1, abs(r.score))
+
+
 def test_each_context_sums_to_one():
     plain = Plain([t for t in corpus() if t], 2)
     words = [g[0] for g in plain.counts[1]]
