@@ -103,6 +103,46 @@ def test_stamps_need_size_shape_and_filling():
     assert H.stamp_boxes(np.zeros((20, 20), bool)) == []
 
 
+def plain_stamps(mask, reach=4):
+    """Boxes by closing and flooding cell by cell; places outside count as clear when marks grow and as set when they shrink."""
+    tall, wide = mask.shape
+    around = lambda y, x: ((v, u) for v in range(max(0, y - reach), min(tall, y + reach + 1)) for u in range(max(0, x - reach), min(wide, x + reach + 1)))
+    grown = {c for y, x in zip(*map(list, np.nonzero(mask)), strict=True) for c in around(int(y), int(x))}
+    open_cells = {(y, x) for y, x in grown if all(c in grown for c in around(y, x))}
+    out = []
+    while open_cells:
+        todo = [open_cells.pop()]
+        part = []
+        while todo:
+            y, x = todo.pop()
+            part.append((y, x))
+            next_to = {(y + v, x + u) for v in (-1, 0, 1) for u in (-1, 0, 1)} & open_cells
+            open_cells -= next_to
+            todo += next_to
+        ys, xs = zip(*part, strict=True)
+        w, h, n = max(xs) - min(xs) + 1, max(ys) - min(ys) + 1, sum(bool(mask[c]) for c in part)
+        if n >= 400 and w >= 40 and 1.5 <= w / h <= 8 and 0.08 <= n / (w * h) <= 0.8:
+            out.append((min(xs), min(ys), w, h, n))
+    return sorted(out)
+
+
+def test_stamp_detector_reads_every_row(spark, tmp_path):
+    from evidentia import catalogue
+
+    rng = np.random.default_rng(5)
+    vectors = {i: rng.normal(size=4).tolist() for i in (0, 1, 7, 49, 50, 51, 123)} | {99: [0.0, 0.0, 1.0, 1.0]}
+    spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(tuple(r) for r in catalogue.queries()["stamp_detector"](spark, str(tmp_path)).collect())
+    want = []
+    for i, vector in vectors.items():
+        mask = np.zeros((160, 240), bool)
+        x, y = (int(abs(v) * 400) % 100 for v in vector[:2])
+        mask[y : y + 24, x : x + 100 : 2] = True
+        mask[150:156, :6] = True
+        want += [(i, *box) for box in plain_stamps(mask)]
+    assert len(want) >= len(vectors) and got == sorted(want)
+
+
 def test_digit_vote_abstains(spark):
     def vote(*reads):
         frame = spark.createDataFrame([("c", p, g) for p, g in reads], "case_id string, page_index int, group string")
