@@ -9,7 +9,7 @@ minima gives TREES sorted orders; a region is a run of nodes that share at least
   that depth adapts to each region; and each node's WINDOW neighbours before it, whose common prefixes are longest;
 * in a larger region whose nodes still fall into several components, each node with the region's best linked nodes; and, in
   what is still split after that, all pairs of different components that share one of their rarest shingles. Two sets that are
-  similar enough share one among a fixed part of their rarest, so within larger regions no link between components is lost.
+  similar enough share one among a fixed part of their rarest, so within larger regions no link between components is lost but by the sketches below.
 
 The orders are dealt out by ranges of the sorted order itself, so no region, however hot, lies in one task; runs at the ends
 of ranges are joined in a second, small pass. Candidates whose signatures make a similarity of 0.8 all but impossible are
