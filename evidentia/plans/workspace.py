@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; where that is unset, as in tests, a folder of this machine."""
     key = "spark.checkpoint.dir"
@@ -40,7 +43,12 @@ class Workspace:
         """Writes df now and returns the written rows."""
         to = f"{self.path}/{name}"
         writer = df.write.mode("overwrite").option("compression", "zstd")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(to)
+        freed = self.spark.conf.get(_FREED, "false")
+        self.spark.conf.set(_FREED, "true")  # once the table stands, nothing reads the shuffles that made it
+        try:
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(to)
+        finally:
+            self.spark.conf.set(_FREED, freed)
         order = [c for c in df.columns if c not in (partition_by or [])] + (partition_by or [])
         schema = T.StructType([df.schema[c] for c in order])
         return self.spark.read.schema(schema).parquet(to)
