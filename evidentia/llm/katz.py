@@ -12,10 +12,15 @@ than 1/2 in c(h) + 1/2 counts; it frees that much, so that no word has probabili
 How it is laid out. Texts become chunks of about CHUNK_BYTES: each chunk's distinct words and token numbers are written once
 to a shard in the shared folder. For each order, a chunk asks for its distinct n-grams, pre-counted, once: requests are
 dealt by hash to parts that grow in number with the corpus, a part adds up the counts of all chunks and answers each
-chunk, and the answers are a table partitioned by kind (answers, statistics, hot contexts). A part holds whole contexts,
-so it knows their sums; contexts with over `hot` training tokens are spread over several parts by their next word, and
-their sums meet in one row each, at most HOT_CONTEXTS of them by choice of `hot`. The last pass evaluates each token
-recursively from the answers. No table of n-grams is ever sent to all executors.
+chunk, and the answers are a table partitioned by kind (answers, statistics, hot contexts). The chunks of a bundle, whose
+number grows with the corpus, share one row for each part. A part holds whole contexts, so it knows their sums; contexts
+with over `hot` training tokens are spread over several parts by their next word, and their sums meet in one row each, at
+most HOT_CONTEXTS of them by choice of `hot`. The last pass evaluates each token recursively from the answers. No table of
+n-grams is ever sent to all executors.
+
+What crosses the network is whole numbers only. The sum of P(n-1) over the words seen after h is s(h') / c(h') times the sum
+of their discounted counts after h', as a word seen after h was seen after h'; so requests carry those counts, answers
+their tallies, and the asking chunk, which knows s(h') / c(h'), gets the exact sum.
 
 Null and empty texts are one end token. A null id is held out nowhere and trains nothing. Repeated rows count each time. An
 empty table gives no rows; without training rows all tokens are unknown. Further columns are ignored. Texts of any length
@@ -31,6 +36,7 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +51,15 @@ CUTOFF = 5
 CHUNK_BYTES = 8 << 20
 #: Distinct n-grams of all chunks in a part, about.
 PART_GRAMS = 1_500_000
-#: Bound on the rows of hot contexts' sums that are sent to all executors (64 bytes each).
-HOT_CONTEXTS = 1_000_000
+#: Bound on the rows of hot contexts' sums that are sent to all executors (100 bytes each).
+HOT_CONTEXTS = 500_000
+#: One more chunk in a bundle for each so many chunks, and the most chunks in one.
+BUNDLE_STEP, BUNDLE = 512, 16
+#: Tasks of a pass over bundles, at most.
+MOST_TASKS = 32_768
 
 _END = np.uint64(0x9E3779B97F4A7C15)
-_ROW = "kind string, chunk string, part int, data binary"
+_ROW = "kind string, bundle string, part int, data binary"
 
 
 # ---------------------------------------------------------------- packed arrays
@@ -94,8 +104,8 @@ def unframe(raw: bytes) -> list[bytes]:
     return out
 
 
-def rows(kinds: list[str], chunks: list[str], parts: list[int], data: list[bytes]) -> pa.Table:
-    return pa.table({"kind": pa.array(kinds, pa.string()), "chunk": pa.array(chunks, pa.string()), "part": pa.array(parts, pa.int32()), "data": pa.array(data, pa.binary())})
+def rows(kinds: list[str], bundles: list[str], parts: list[int], data: list[bytes]) -> pa.Table:
+    return pa.table({"kind": pa.array(kinds, pa.string()), "bundle": pa.array(bundles, pa.string()), "part": pa.array(parts, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
 # ---------------------------------------------------------------- discounts and weights
@@ -115,15 +125,14 @@ def discounts(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def unigram(count: np.ndarray, total: int, counts: np.ndarray) -> np.ndarray:
-    """P1 of words with these training counts; 0 stands for the class of unknown words."""
+def unigram(count: np.ndarray, total: int, counts: np.ndarray) -> tuple[np.ndarray, float]:
+    """P1 of words with these training counts, 0 standing for the class of unknown words; and P1 of known words by discounted count."""
     d = discounts(counts)
     kept = float(total) - sum((1 - d[r]) * r * counts[r] for r in range(1, CUTOFF + 1))
     room = total + 0.5
     scale = min(1.0, total * total / (room * kept)) if kept else 1.0
-    seen = scale * d_of(d, count) * count / total if total else np.zeros(len(count))
-    unknown = 1.0 - scale * kept / total if total else 1.0
-    return np.where(count > 0, seen, unknown)
+    factor = scale / total if total else 0.0
+    return np.where(count > 0, factor * d_of(d, count) * count, 1.0 - factor * kept), factor
 
 
 def d_of(d: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -131,30 +140,54 @@ def d_of(d: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 class Sums:
-    """For each of some contexts: low[r - 1] words seen r times after it, tokens of words seen oftener, and the sum of P(n-1) over seen words."""
+    """What is known of some contexts, as whole numbers, a row each.
+
+    low[:, r - 1]: words seen r times after it; high: tokens of words seen oftener; below, above: the same of these words'
+    counts after the next shorter context.
+    """
+
+    names = (*(f"low{r}" for r in range(1, CUTOFF + 1)), "high", *(f"below{r}" for r in range(1, CUTOFF + 1)), "above")
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
 
-    def __init__(self, low: np.ndarray, high: np.ndarray, lower: np.ndarray):
-        self.low, self.high, self.lower = low, high, lower
+    def of(self, at: np.ndarray) -> Sums:
+        return Sums(self.table[at])
 
-    def weights(self, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def weights(self, d: np.ndarray, d_below: np.ndarray, factor_below: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
         """s(h) / c(h), and alpha(h); alpha is 1 for contexts never seen."""
         r = np.arange(1, CUTOFF + 1)
-        total = self.low @ r + self.high
-        kept = self.low @ (r * d[1:]) + self.high
+        t = self.table.astype(float)
+        low, high = t[:, :CUTOFF], t[:, CUTOFF]
+        total = low @ r + high
+        kept = low @ (r * d[1:]) + high
+        lower = factor_below * (t[:, CUTOFF + 1 : -1] @ (r * d_below[1:]) + t[:, -1])
         with np.errstate(divide="ignore", invalid="ignore"):
             scale = np.minimum(1.0, total * total / ((total + 0.5) * kept))
-            rest = 1.0 - self.lower
+            rest = 1.0 - lower
             scale = np.where(rest <= 1e-12, total / kept, scale)
             alpha = np.where(rest <= 1e-12, 0.0, (1.0 - scale * kept / total) / rest)
             return np.where(total > 0, scale / total, 0.0), np.where(total > 0, alpha, 1.0)
 
     def dump(self) -> list[bytes]:
-        return [*(pack(self.low[:, i].astype(np.uint64)) for i in range(CUTOFF)), pack(self.high.astype(np.uint64)), pack(self.lower)]
+        tallies = np.delete(self.table, (CUTOFF, 2 * CUTOFF + 1), axis=1)
+        return [pack(tallies.T.ravel()), pack(self.table[:, CUTOFF]), pack(self.table[:, -1])]
 
     @staticmethod
     def load(blobs: list[bytes]) -> Sums:
-        low = np.stack([unpack(b) for b in blobs[:CUTOFF]], axis=1).astype(float)
-        return Sums(low, unpack(blobs[CUTOFF]).astype(float), unpack(blobs[CUTOFF + 1]))
+        tallies, high, above = (unpack(b).astype(np.int64) for b in blobs)
+        low = tallies.reshape(2 * CUTOFF, len(high)).T
+        return Sums(np.concatenate([low[:, :CUTOFF], high[:, None], low[:, CUTOFF:], above[:, None]], axis=1))
+
+    @staticmethod
+    def add_up(run: np.ndarray, n: int, count: np.ndarray, below: np.ndarray) -> Sums:
+        """Over n-grams that were seen: the context's number, the count, and the count after the shorter context."""
+        out = np.empty((n, 2 * CUTOFF + 2), np.int64)
+        for at, c in ((0, count), (CUTOFF + 1, below)):
+            rare = c <= CUTOFF
+            out[:, at : at + CUTOFF] = np.bincount(run[rare] * CUTOFF + c[rare] - 1, minlength=n * CUTOFF).reshape(n, CUTOFF)
+            out[:, at + CUTOFF] = np.bincount(run[~rare], weights=c[~rare], minlength=n)
+        return Sums(out)
 
 
 # ---------------------------------------------------------------- chunks
@@ -197,10 +230,10 @@ def part_of(key: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Level:
-    """What a chunk knows of one order: for each distinct n-gram (`of` maps tokens to them) count, number, and p."""
+    """What a chunk knows of one order: for each distinct n-gram (`of` maps tokens to them) count, number, s(h) / c(h) of its context, and p."""
 
-    def __init__(self, of: np.ndarray, count: np.ndarray, number: np.ndarray | None, p: np.ndarray):
-        self.of, self.count, self.number, self.p = of, count, number, p
+    def __init__(self, of: np.ndarray, count: np.ndarray, number: np.ndarray | None, factor: np.ndarray, p: np.ndarray):
+        self.of, self.count, self.number, self.factor, self.p = of, count, number, factor, p
 
 
 class Model:
@@ -221,36 +254,34 @@ class Request:
     """A chunk's distinct n-grams of one order above 1, by part, context and word."""
 
     def __init__(self, chunk: Chunk, model: Model, order: int, below: Level, unigrams: Level):
-        start = np.zeros(len(chunk.tokens), dtype=bool)
-        start[chunk.heads] = True
-        grams = below.number[below.of]
-        context = np.empty(len(grams), np.uint64)
-        context[1:] = grams[:-1]
-        context[start] = model.numbers(order - 1)
-        taught = below.count[below.of]
-        heat = np.empty(len(grams), np.int64)
-        heat[1:] = taught[:-1]
-        heat[start] = model.texts
-        word = unigrams.number[unigrams.of]
-        first, of = distinct(context, word)
-        context, word, heat = context[first], word[first], heat[first]
-        self.count = np.bincount(of, weights=chunk.teaches, minlength=len(first)).astype(np.int64)
-        self.lower = below.p[below.of][first]
-        # a word's count stands for its P1, in a fraction of the bytes
-        self.sent = below.count[below.of][first] if order == 2 else self.lower
-        self.is_hot = heat > model.hot
-        part = part_of(mix(context), model.bits)
+        # every n-gram of the order below is a context; one more stands for the start of a text
+        number = np.append(below.number, np.uint64(model.numbers(order - 1)))
+        heat = np.append(below.count, model.texts)
+        context = np.empty(len(chunk.tokens), np.int64)
+        context[1:] = below.of[:-1]
+        context[chunk.heads] = len(number) - 1
+        # a hot context is as many contexts as there are parts for its words
+        part = part_of(mix(number), model.bits)
         fan = np.minimum(heat // max(1, model.hot) + 1, 1 << model.bits)
-        spread = (mix(word) % fan.astype(np.uint64)).astype(np.int64)
-        part = np.where(self.is_hot, (part + spread) % (1 << model.bits), part)
-        order_by = np.lexsort((word, context, part))
-        rank = np.empty(len(order_by), np.int64)
-        rank[order_by] = np.arange(len(order_by))
-        self.of = rank[of]
-        self.part, self.context, self.word = part[order_by], context[order_by], word[order_by]
-        self.count, self.lower, self.sent, self.is_hot = self.count[order_by], self.lower[order_by], self.sent[order_by], self.is_hot[order_by]
-        new = np.ones(len(order_by), dtype=bool)
-        new[1:] = (self.part[1:] != self.part[:-1]) | (self.context[1:] != self.context[:-1])
+        spread = np.flatnonzero(heat[context] > model.hot)
+        if len(spread):
+            word = mix(unigrams.number[unigrams.of[spread]])
+            owner = context[spread]
+            pair, at = distinct(owner, (word % fan[owner].astype(np.uint64)).astype(np.int64))
+            owner, shift = owner[pair], (word[pair] % fan[owner[pair]].astype(np.uint64)).astype(np.int64)
+            context[spread] = len(number) + at
+            part = np.append(part, (part[owner] + shift) % (1 << model.bits))
+            number, heat = np.append(number, number[owner]), np.append(heat, heat[owner])
+        by_part, by_number = np.lexsort((number, part)), np.argsort(unigrams.number)
+        first, self.of = distinct(ranks(by_part)[context], ranks(by_number)[unigrams.of])
+        self.count = np.bincount(self.of, weights=chunk.teaches, minlength=len(first)).astype(np.int64)
+        under = below.of[first]
+        self.sent, self.lower, self.factor = below.count[under], below.p[under], below.factor[under]
+        context = context[first]
+        self.part, self.context, self.is_hot = part[context], number[context], heat[context] > model.hot
+        self.word = unigrams.number[unigrams.of[first]]
+        new = np.ones(len(first), dtype=bool)
+        new[1:] = context[1:] != context[:-1]
         self.run_starts = np.flatnonzero(new)
         self.run_of = np.cumsum(new) - 1
 
@@ -267,14 +298,31 @@ class Request:
         return frame(pack(self.context[starts], rising=True), pack(lengths), pack(self.is_hot[starts].astype(np.uint8)), pack(self.word[own]), pack(self.count[own]), pack(self.sent[own][taught]))
 
 
+def ranks(order: np.ndarray) -> np.ndarray:
+    out = np.empty(len(order), np.int64)
+    out[order] = np.arange(len(order))
+    return out
+
+
 def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First places of the distinct pairs, and each pair's place among them."""
-    if len(a) and int(a.max()) < 1 << 32 and int(b.max()) < 1 << 32:
-        _, first, of = np.unique((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64), return_index=True, return_inverse=True)
-        return first, of
-    order = np.lexsort((b, a))
-    new = np.ones(len(a), dtype=bool)
-    new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    """Places of the distinct pairs of non-negative integers, rising, and each pair's place among them."""
+    if not len(a):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits_b, bits_at = int(b.max()).bit_length(), (len(a) - 1).bit_length()
+    bits = int(a.max()).bit_length() + bits_b
+    if bits <= 63:
+        key = (a.astype(np.int64) << bits_b) | b.astype(np.int64)
+        if bits + bits_at <= 63:  # one sort of plain numbers that carry their places
+            key = np.sort((key << bits_at) | np.arange(len(a)))
+            order, key = key & ((1 << bits_at) - 1), key >> bits_at
+        else:
+            order = np.argsort(key)
+            key = key[order]
+        new = key[1:] != key[:-1]
+    else:
+        order = np.lexsort((b, a))
+        new = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+    new = np.concatenate(([True], new))
     of = np.empty(len(a), np.int64)
     of[order] = np.cumsum(new) - 1
     return order[new], of
@@ -287,68 +335,71 @@ def tally(count: np.ndarray) -> np.ndarray:
     return np.bincount(count[(count > 0) & (count <= CUTOFF + 1)].astype(np.int64), minlength=CUTOFF + 2)
 
 
+def opened(table: pa.Table) -> tuple[list[str], list[int], list[list[np.ndarray]]]:
+    """Requests of a part: bundles, the number of chunks of each, and the chunks' arrays."""
+    framed = [unframe(raw) for raw in table.column("data").to_pylist()]
+    return table.column("bundle").to_pylist(), [len(f) for f in framed], [[unpack(b) for b in unframe(raw)] if raw else [] for f in framed for raw in f]
+
+
+def closed(part: int, bundles: list[str], sizes: list[int], answers: list[bytes], stats: np.ndarray, hot: bytes = b"") -> pa.Table:
+    """A part's answers, a row for each bundle, its statistics and its hot contexts."""
+    ends = np.cumsum(sizes)
+    data = [frame(*answers[b - n : b]) for n, b in zip(sizes, ends, strict=True)] + [frame(pack(stats))] + [hot] * bool(hot)
+    kinds = ["answer"] * len(bundles) + ["stats"] + ["hot"] * bool(hot)
+    return rows(kinds, [*bundles, *[""] * (len(data) - len(bundles))], [part] * len(data), data)
+
+
 def answer_words(table: pa.Table) -> pa.Table:
     """A part of order 1: counts and numbers for each chunk, and the part's statistics."""
-    part, chunks = table.column("part")[0].as_py(), table.column("chunk").to_pylist()
-    asked = [list(map(unpack, unframe(raw))) for raw in table.column("data").to_pylist()]
-    every, of = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-    count = np.bincount(of, weights=np.concatenate([a[1] for a in asked]), minlength=len(every)).astype(np.int64)
+    bundles, sizes, asked = opened(table)
+    some = [a for a in asked if a]
+    every, of = np.unique(np.concatenate([a[0] for a in some]), return_inverse=True)
+    count = np.bincount(of, weights=np.concatenate([a[1] for a in some]), minlength=len(every)).astype(np.int64)
     out, at = [], 0
-    for words, _ in asked:
-        own = of[at : at + len(words)]
-        out.append(frame(pack(count[own]), pack(own, rising=True)))
-        at += len(words)
-    stats = np.array([count.sum(), (count > 0).sum(), len(every), *tally(count)], np.uint64)
-    return rows(["answer"] * len(out) + ["stats"], [*chunks, ""], [part] * (len(out) + 1), [*out, frame(pack(stats))])
-
+    for a in asked:
+        own = of[at : at + len(a[0])] if a else []
+        out.append(frame(pack(count[own]), pack(own, rising=True)) if a else b"")
+        at += len(own)
+    return closed(table.column("part")[0].as_py(), bundles, sizes, out, np.array([count.sum(), (count > 0).sum(), len(every), *tally(count)], np.uint64))
 
-def answer_grams(table: pa.Table, numbered: bool, tokens: int, counts_of_counts: np.ndarray) -> pa.Table:
-    """A part of a higher order: counts, sums of contexts and, if numbered, numbers for each chunk; statistics; hot contexts' sums.
 
-    Requests of order 2 come with words' counts, others with lower probabilities.
-    """
-    part, chunks = table.column("part")[0].as_py(), table.column("chunk").to_pylist()
-    asked = [list(map(unpack, unframe(raw))) for raw in table.column("data").to_pylist()]
-    context = np.concatenate([np.repeat(a[0], a[1].astype(np.int64)) for a in asked])
-    word = np.concatenate([a[3] for a in asked])
-    counts = np.concatenate([a[4] for a in asked])
-    first, of = distinct(context, word)
+def answer_grams(table: pa.Table, numbered: bool) -> pa.Table:
+    """A part of a higher order: counts, sums of contexts and, if numbered, numbers for each chunk; statistics; hot contexts' sums."""
+    bundles, sizes, asked = opened(table)
+    some = [a for a in asked if a]
+    contexts, run = np.unique(np.concatenate([a[0] for a in some]), return_inverse=True)
+    first, of = distinct(np.repeat(run, np.concatenate([a[1] for a in some]).astype(np.int64)), np.concatenate([a[3] for a in some]))
+    counts = np.concatenate([a[4] for a in some])
     count = np.bincount(of, weights=counts, minlength=len(first)).astype(np.int64)
-    lower = np.zeros(len(first))
-    taught = np.flatnonzero(counts > 0)
-    sent = np.concatenate([a[5] for a in asked])
-    lower[of[taught]] = sent if sent.dtype == np.float64 else unigram(sent.astype(np.int64), tokens, counts_of_counts)
-    contexts, run = np.unique(context[first], return_inverse=True)
-    n = len(contexts)
-    low = np.stack([np.bincount(run[count == r], minlength=n) for r in range(1, CUTOFF + 1)], axis=1).astype(float)
-    often = count > CUTOFF
-    sums = Sums(low, np.bincount(run[often], weights=count[often], minlength=n), np.bincount(run[count > 0], weights=lower[count > 0], minlength=n))
-    out, at = [], 0
+    below = np.zeros(len(first), np.int64)
+    below[of[counts > 0]] = np.concatenate([a[5] for a in some])
+    # the run of each distinct n-gram, from any place that has it
+    where = np.searchsorted(np.cumsum(np.concatenate([a[1] for a in some]).astype(np.int64)), first, side="right")
+    seen = count > 0
+    sums = Sums.add_up(run[where][seen], len(contexts), count[seen], below[seen])
+    out, at, at_run = [], 0, 0
     for a in asked:
+        if not a:
+            out.append(b"")
+            continue
         own = of[at : at + len(a[3])]
-        place = np.searchsorted(contexts, a[0])
-        mine = Sums(sums.low[place], sums.high[place], sums.lower[place])
-        out.append(frame(pack(count[own]), pack(own) if numbered else b"", *mine.dump()))
-        at += len(own)
-    hot = np.unique(np.concatenate([a[0][a[2] > 0] for a in asked]))
-    place = np.searchsorted(contexts, hot)
-    stats = np.array([count.sum(), (count > 0).sum(), len(first), *tally(count)], np.uint64)
-    partial = frame(pack(hot, rising=True), *Sums(sums.low[place], sums.high[place], sums.lower[place]).dump())
-    data = [*out, frame(pack(stats)), *([partial] if len(hot) else [])]
-    kinds = ["answer"] * len(out) + ["stats"] + ["hot"] * bool(len(hot))
-    return rows(kinds, [*chunks, *[""] * (len(data) - len(out))], [part] * len(data), data)
+        out.append(frame(pack(count[own]), pack(own, rising=True) if numbered else b"", *sums.of(run[at_run : at_run + len(a[0])]).dump()))
+        at, at_run = at + len(a[3]), at_run + len(a[0])
+    heat = np.concatenate([a[2] for a in some]) > 0
+    hot = np.unique(run[heat])
+    stats = np.array([count.sum(), seen.sum(), len(first), *tally(count)], np.uint64)
+    return closed(table.column("part")[0].as_py(), bundles, sizes, out, stats, frame(pack(contexts[hot], rising=True), *sums.of(hot).dump()) if len(hot) else b"")
 
 
-def grams_answerer(numbered: bool, model: Model) -> Callable[[pa.Table], pa.Table]:
-    tokens, counts = model.tokens, model.counts[1]
-    return lambda table: answer_grams(table, numbered, tokens, counts)
+def grams_answerer(numbered: bool) -> Callable[[pa.Table], pa.Table]:
+    return lambda table: answer_grams(table, numbered)
 
 
 # ---------------------------------------------------------------- passes
 
 
 def write_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
-    """docs (doc_id, text, train, held_out) as chunks: an index of chunk, file, offset, length, ids, held, n."""
+    """docs (doc_id, text, train, held_out) as chunks: an index of chunk, file, ordinal in the file, length, ids, held, n."""
     folder = f"{work.path}/tokens"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,7 +415,7 @@ def write_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
             chunk = tokenise([h.column("text") for h in held], np.concatenate([h.column("train").to_numpy(zero_copy_only=False) for h in held]))
             raw = chunk.dump()
             out.write(raw)
-            row = {"chunk": f"{file}:{at}", "file": file, "offset": at, "length": len(raw), "ids": [x for h in held for x in h.column("doc_id").to_pylist()], "held": [x for h in held for x in h.column("held_out").to_pylist()], "n": len(chunk.tokens), "taught": int(chunk.train.sum())}
+            row = {"chunk": f"{file}:{at}", "file": file, "ordinal": len(done), "length": len(raw), "ids": [x for h in held for x in h.column("doc_id").to_pylist()], "held": [x for h in held for x in h.column("held_out").to_pylist()], "n": len(chunk.tokens), "taught": int(chunk.train.sum())}
             at, held, size = at + len(raw), [], 0
             return row
 
@@ -379,9 +430,9 @@ def write_chunks(docs: DataFrame, work: Workspace) -> DataFrame:
         if out is not None:
             out.close()  # nothing is given out before the file is whole
         for row in done:
-            yield pa.RecordBatch.from_pydict({k: pa.array([row[k]], t) for k, t in (("chunk", pa.string()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("n", pa.int64()), ("taught", pa.int64()))})
+            yield pa.RecordBatch.from_pydict({k: pa.array([row[k]], t) for k, t in (("chunk", pa.string()), ("file", pa.string()), ("ordinal", pa.int64()), ("length", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("n", pa.int64()), ("taught", pa.int64()))})
 
-    schema = "chunk string, file string, offset bigint, length bigint, ids array<bigint>, held array<boolean>, n bigint, taught bigint"
+    schema = "chunk string, file string, ordinal bigint, length bigint, ids array<bigint>, held array<boolean>, n bigint, taught bigint"
     return work.table("chunks", docs.select("doc_id", "text", "train", "held_out").mapInArrow(run, schema))
 
 
@@ -392,20 +443,35 @@ def read_chunk(folder: str, chunk: str, length: int) -> Chunk:
         return Chunk.load(f.read_at(length, int(at)))
 
 
-def ask_words(index: DataFrame, work: Workspace, bits: int) -> DataFrame:
+def by_bundle(table: DataFrame, bundles: int) -> DataFrame:
+    """Dealt out so that as many tasks work as there are bundles, however few bytes they read."""
+    return table.repartition(max(1, min(MOST_TASKS, bundles)), "bundle")
+
+
+def sent(bundle: str, asked: list[dict[int, bytes]]) -> pa.Table:
+    """The requests of a bundle's chunks, one row for each part."""
+    parts = sorted({part for own in asked for part in own})
+    return rows(["ask"] * len(parts), [bundle] * len(parts), parts, [frame(*(own.get(part, b"") for own in asked)) for part in parts])
+
+
+def ask_words(index: DataFrame, work: Workspace, bits: int, bundles: int) -> DataFrame:
     folder = f"{work.path}/tokens"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, length in zip(batch.column("chunk").to_pylist(), batch.column("length").to_pylist(), strict=True):
-                chunk = read_chunk(folder, name, length)
-                count = np.bincount(chunk.tokens, weights=chunk.teaches, minlength=len(chunk.words)).astype(np.int64)
-                cuts = np.searchsorted(part_of(chunk.words, bits), np.arange((1 << bits) + 1))
-                for part, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    if b > a:
-                        yield from rows(["ask"], [name], [part], [frame(pack(chunk.words[a:b], rising=True), pack(count[a:b]))]).to_batches()
+    def run(table: pa.Table) -> pa.Table:
+        asked = []
+        for name, length in zip(*members(table)[:2], strict=True):
+            chunk = read_chunk(folder, name, length)
+            count = np.bincount(chunk.tokens, weights=chunk.teaches, minlength=len(chunk.words)).astype(np.int64)
+            cuts = np.searchsorted(part_of(chunk.words, bits), np.arange((1 << bits) + 1))
+            asked.append({part: frame(pack(chunk.words[a:b], rising=True), pack(count[a:b])) for part, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a})
+        return sent(table.column("bundle")[0].as_py(), asked)
 
-    return index.select("chunk", "length").repartition(max(1, min(4096, index.count())), "chunk").mapInArrow(run, _ROW)
+    return by_bundle(index.select("bundle", "ordinal", "chunk", "length"), bundles).groupBy("bundle").applyInArrow(run, _ROW)
+
+
+def members(table: pa.Table, *more: str) -> list[list]:
+    """Names, lengths and further columns of a bundle's chunks, in the order of requests and answers."""
+    return [c.to_pylist() for c in table.sort_by("ordinal").select(["chunk", "length", *more]).columns]
 
 
 def resolve(chunk: Chunk, model: Model, answers: dict[int, dict[int, list[bytes]]], upto: int, asks: bool) -> tuple[list[Level], Request | None]:
@@ -416,61 +482,62 @@ def resolve(chunk: Chunk, model: Model, answers: dict[int, dict[int, list[bytes]
         counts.append(count.astype(np.int64))
         numbers.append(number + np.uint64(model.offsets[1][part]))
     count = np.concatenate(counts)
-    levels = [Level(chunk.tokens, count, np.concatenate(numbers), unigram(count, model.tokens, model.counts[1]))]
+    p, scale = unigram(count, model.tokens, model.counts[1])
+    levels = [Level(chunk.tokens, count, np.concatenate(numbers), np.full(len(count), scale), p)]
     for order in range(2, upto + 1):
         request = Request(chunk, model, order, levels[-1], levels[0])
         count, number, factor, alpha = [], [], [], []
-        d = discounts(model.counts[order])
+        d, d_below = discounts(model.counts[order]), discounts(model.counts[order - 1])
         for part, own, runs in request.slices():
             blobs = answers[order][part]
             count.append(unpack(blobs[0]).astype(np.int64))
             if blobs[1]:
                 number.append(unpack(blobs[1]) + np.uint64(model.offsets[order][part]))
-            f, a = Sums.load(blobs[2:]).weights(d)
             starts = request.run_starts[runs]
-            hot = request.is_hot[starts]
+            sums, hot = Sums.load(blobs[2:]), request.is_hot[starts]
             if hot.any():
-                known, sums = model.hot_sums[order]
-                at = np.searchsorted(known, request.context[starts[hot]])
-                f[hot], a[hot] = Sums(sums.low[at], sums.high[at], sums.lower[at]).weights(d)
+                known, whole = model.hot_sums[order]
+                sums.table[hot] = whole.table[np.searchsorted(known, request.context[starts[hot]])]
+            f, a = sums.weights(d, d_below, request.factor[starts])
             again = request.run_of[own] - runs.start
             factor.append(f[again])
             alpha.append(a[again])
         count, factor, alpha = map(np.concatenate, (count, factor, alpha))
         p = np.where(count > 0, factor * d_of(d, count) * count, alpha * request.lower)
-        levels.append(Level(request.of, count, np.concatenate(number) if number else None, p))
+        levels.append(Level(request.of, count, np.concatenate(number) if number else None, factor, p))
     return levels, Request(chunk, model, upto + 1, levels[-1], levels[0]) if asks else None
 
 
-def gather(index: DataFrame, answered: dict[int, DataFrame], work: Workspace, model: Model, upto: int, then: Callable[[pa.Table, Chunk, list[Level], Request | None], pa.Table], schema: str, asks: bool) -> DataFrame:
-    """then(index row, chunk, levels, request) for each chunk with all its answers so far."""
+def gather(index: DataFrame, answered: dict[int, DataFrame], work: Workspace, model: Model, upto: int, bundles: int, then: Callable[[str, list[list], Iterator], pa.Table], schema: str, asks: bool) -> DataFrame:
+    """then(bundle, its chunks' ids and held, their levels and requests one after another) for each bundle with all its answers so far."""
     folder = f"{work.path}/tokens"
     shared = index.sparkSession.sparkContext.broadcast(model)
-    columns = "chunk", "length", "ids", "held"
-    own = index.select("chunk", F.lit(0).alias("order"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data"), "length", "ids", "held")
+    own = index.select("bundle", F.lit(0).alias("order"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data"), "ordinal", "chunk", "length", "ids", "held")
     for order, table in answered.items():
-        own = own.unionAll(table.filter("kind = 'answer'").select("chunk", F.lit(order), "part", "data", F.lit(None).cast("bigint"), F.lit(None).cast("array<bigint>"), F.lit(None).cast("array<boolean>")))
+        blank = (F.lit(None).cast(t) for t in ("bigint", "string", "bigint", "array<bigint>", "array<boolean>"))
+        own = own.unionAll(table.filter("kind = 'answer'").select("bundle", F.lit(order), "part", "data", *blank))
 
     def run(table: pa.Table) -> pa.Table:
-        answers: dict[int, dict[int, list[bytes]]] = {}
-        at = 0
-        for i, (order, part, data) in enumerate(zip(*(table.column(k).to_pylist() for k in ("order", "part", "data")), strict=True)):
-            if order:
-                answers.setdefault(order, {})[part] = unframe(data)
-            else:
-                at = i
-        row = table.slice(at, 1).select(list(columns))
-        chunk = read_chunk(folder, row.column("chunk")[0].as_py(), row.column("length")[0].as_py())
-        return then(row, chunk, *resolve(chunk, shared.value, answers, upto, asks))
+        answers = [(o, p, unframe(d)) for o, p, d in zip(*(table.column(k).to_pylist() for k in ("order", "part", "data")), strict=True) if o]
+        names, lengths, *rest = members(table.filter(pc.equal(table.column("order"), 0)), "ids", "held")
+
+        def each() -> Iterator[tuple[Chunk, list[Level], Request | None]]:
+            for i, (name, length) in enumerate(zip(names, lengths, strict=True)):
+                mine: dict[int, dict[int, list[bytes]]] = {o: {} for o in range(1, upto + 1)}
+                for o, p, framed in answers:
+                    if framed[i]:
+                        mine[o][p] = unframe(framed[i])
+                chunk = read_chunk(folder, name, length)
+                yield chunk, *resolve(chunk, shared.value, mine, upto, asks)
+
+        return then(table.column("bundle")[0].as_py(), rest, each())
 
-    return own.groupBy("chunk").applyInArrow(run, schema)
+    return by_bundle(own, bundles).groupBy("bundle").applyInArrow(run, schema)
 
 
-def ask_grams(row: pa.Table, chunk: Chunk, levels: list[Level], request: Request) -> pa.Table:
-    del chunk, levels
-    own = [(part, request.dump(a, runs)) for part, a, runs in request.slices()]
-    name = row.column("chunk")[0].as_py()
-    return rows(["ask"] * len(own), [name] * len(own), [p for p, _ in own], [d for _, d in own])
+def ask_grams(bundle: str, rest: list[list], each: Iterator) -> pa.Table:
+    del rest
+    return sent(bundle, [{part: request.dump(a, runs) for part, a, runs in request.slices()} for _, _, request in each])
 
 
 def statistics(model: Model, order: int, answered: DataFrame) -> None:
@@ -490,14 +557,12 @@ def statistics(model: Model, order: int, answered: DataFrame) -> None:
         for batch in batches:
             for raw in batch.column("data").to_pylist():
                 context, *blobs = unframe(raw)
-                sums = Sums.load(blobs)
-                cols = {"context": pa.array(unpack(context).astype(np.int64))} | {f"n{i + 1}": pa.array(sums.low[:, i]) for i in range(CUTOFF)}
-                yield pa.RecordBatch.from_pydict(cols | {"high": pa.array(sums.high), "lower": pa.array(sums.lower)})
+                sums = Sums.load(blobs).table
+                yield pa.RecordBatch.from_pydict({"context": pa.array(unpack(context).astype(np.int64))} | {k: pa.array(sums[:, i]) for i, k in enumerate(Sums.names)})
 
-    names = [*(f"n{i + 1}" for i in range(CUTOFF)), "high", "lower"]
-    spelt = answered.filter("kind = 'hot'").select("data").mapInArrow(spell, "context bigint, " + ", ".join(f"{k} double" for k in names))
-    summed = spelt.groupBy("context").agg(*(F.sum(k).alias(k) for k in names)).orderBy("context").toPandas()  # at most HOT_CONTEXTS
-    model.hot_sums[order] = summed["context"].to_numpy().astype(np.uint64), Sums(summed[names[:CUTOFF]].to_numpy(float).reshape(-1, CUTOFF), summed["high"].to_numpy(float), summed["lower"].to_numpy(float))
+    spelt = answered.filter("kind = 'hot'").select("data").mapInArrow(spell, "context bigint, " + ", ".join(f"{k} bigint" for k in Sums.names))
+    summed = spelt.groupBy("context").agg(*(F.sum(k).alias(k) for k in Sums.names)).orderBy("context").toPandas()  # at most HOT_CONTEXTS
+    model.hot_sums[order] = summed["context"].to_numpy().astype(np.uint64), Sums(summed[list(Sums.names)].to_numpy(np.int64).reshape(-1, len(Sums.names)))
 
 
 def score(docs: DataFrame, order: int = ORDER, part_grams: int = PART_GRAMS, hot: int | None = None) -> DataFrame:
@@ -505,42 +570,48 @@ def score(docs: DataFrame, order: int = ORDER, part_grams: int = PART_GRAMS, hot
     small_batches(docs.sparkSession)
     work = Workspace(docs.sparkSession, "katz")
     index = write_chunks(docs, work)
-    total, taught = index.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("taught"), F.lit(0))).first()
+    total, taught, chunks = index.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("taught"), F.lit(0)), F.count("*")).first()
+    per = min(BUNDLE, 1 + chunks // BUNDLE_STEP)
+    bundles = -(-chunks // per)
+    index = index.withColumn("bundle", F.concat_ws(":", "file", F.floor(F.col("ordinal") / per)))
     model = Model(max(2, min(20, round(0.5 + log2(max(1, total / part_grams))))), hot or max(part_grams, total // HOT_CONTEXTS + 1))
     model.texts = taught
     parts = 1 << model.bits
     answered: dict[int, DataFrame] = {}
     if total:
-        words = ask_words(index, work, model.bits)
+        words = ask_words(index, work, model.bits, bundles)
         answered[1] = work.table("order1", words.repartition(parts, "part").groupBy("part").applyInArrow(answer_words, _ROW), ["kind"])
         statistics(model, 1, answered[1])
         for n in range(2, order + 1):
-            asked = gather(index, answered, work, model, n - 1, ask_grams, _ROW, asks=True)
-            answered[n] = work.table(f"order{n}", asked.repartition(parts, "part").groupBy("part").applyInArrow(grams_answerer(n < order, model), _ROW), ["kind"])
+            asked = gather(index, answered, work, model, n - 1, bundles, ask_grams, _ROW, asks=True)
+            answered[n] = work.table(f"order{n}", asked.repartition(parts, "part").groupBy("part").applyInArrow(grams_answerer(n < order), _ROW), ["kind"])
             statistics(model, n, answered[n])
 
     tokens, vocabulary = model.tokens, model.vocabulary
 
-    def evaluate(row: pa.Table, chunk: Chunk, levels: list[Level], request: Request | None) -> pa.Table:
-        del request
-        count = levels[0].count[levels[0].of]
-        base = np.log10((count + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
-        own = np.log10(levels[-1].p[levels[-1].of])
-        heads = chunk.heads
-        return pa.table({
-            "doc_id": pa.array(row.column("ids")[0].as_py(), pa.int64()),
-            "held_out": pa.array(row.column("held")[0].as_py(), pa.bool_()),
-            "n_tokens": pa.array(chunk.sizes),
-            "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), heads)),
-            "train_tokens": pa.array(np.full(len(heads), tokens)),
-            "base_score": pa.array(np.add.reduceat(base, heads)),
-            "score": pa.array(np.add.reduceat(own, heads)),
-        })
+    def evaluate(bundle: str, rest: list[list], each: Iterator) -> pa.Table:
+        del bundle
+        out = []
+        for ids, held, (chunk, levels, _) in zip(*rest, each, strict=True):
+            count = levels[0].count[levels[0].of]
+            base = np.log10((count + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
+            own = np.log10(levels[-1].p[levels[-1].of])
+            heads = chunk.heads
+            out.append(pa.table({
+                "doc_id": pa.array(ids, pa.int64()),
+                "held_out": pa.array(held, pa.bool_()),
+                "n_tokens": pa.array(chunk.sizes),
+                "n_known": pa.array(np.add.reduceat((count > 0).astype(np.int64), heads)),
+                "train_tokens": pa.array(np.full(len(heads), tokens)),
+                "base_score": pa.array(np.add.reduceat(base, heads)),
+                "score": pa.array(np.add.reduceat(own, heads)),
+            }))
+        return pa.concat_tables(out)
 
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     if not total:
         return docs.sparkSession.createDataFrame([], schema)
-    return gather(index, answered, work, model, order, evaluate, schema, asks=False)
+    return gather(index, answered, work, model, order, bundles, evaluate, schema, asks=False)
 
 
 def query(docs: DataFrame, **options) -> DataFrame:
