@@ -272,8 +272,8 @@ class Request:
             context[spread] = len(number) + at
             part = np.append(part, (part[owner] + shift) % (1 << model.bits))
             number, heat = np.append(number, number[owner]), np.append(heat, heat[owner])
-        by_part, by_number = np.lexsort((number, part)), np.argsort(unigrams.number)
-        first, self.of = distinct(ranks(by_part)[context], ranks(by_number)[unigrams.of])
+        by_part, by_number = distinct(part, number)[1], ranks(np.argsort(unigrams.number))
+        first, self.of = distinct(by_part[context], by_number[unigrams.of])
         self.count = np.bincount(self.of, weights=chunk.teaches, minlength=len(first)).astype(np.int64)
         under = below.of[first]
         self.sent, self.lower, self.factor = below.count[under], below.p[under], below.factor[under]
@@ -368,15 +368,14 @@ def answer_grams(table: pa.Table, numbered: bool) -> pa.Table:
     bundles, sizes, asked = opened(table)
     some = [a for a in asked if a]
     contexts, run = np.unique(np.concatenate([a[0] for a in some]), return_inverse=True)
-    first, of = distinct(np.repeat(run, np.concatenate([a[1] for a in some]).astype(np.int64)), np.concatenate([a[3] for a in some]))
+    every = np.repeat(run, np.concatenate([a[1] for a in some]).astype(np.int64))
+    first, of = distinct(every, np.concatenate([a[3] for a in some]))
     counts = np.concatenate([a[4] for a in some])
     count = np.bincount(of, weights=counts, minlength=len(first)).astype(np.int64)
     below = np.zeros(len(first), np.int64)
     below[of[counts > 0]] = np.concatenate([a[5] for a in some])
-    # the run of each distinct n-gram, from any place that has it
-    where = np.searchsorted(np.cumsum(np.concatenate([a[1] for a in some]).astype(np.int64)), first, side="right")
     seen = count > 0
-    sums = Sums.add_up(run[where][seen], len(contexts), count[seen], below[seen])
+    sums = Sums.add_up(every[first][seen], len(contexts), count[seen], below[seen])
     out, at, at_run = [], 0, 0
     for a in asked:
         if not a:

@@ -17,6 +17,10 @@ SPACED[[9, 10, 11, 12, 13, 32]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 
+#: Words are hashed by so many blocks of eight bytes, longer ones' rests by bytes.
+BLOCKS = 8
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every input bit over the output."""
@@ -71,12 +75,24 @@ class Words:
 
     @property
     def hashes(self) -> np.ndarray:
-        """A multilinear hash of each word's bytes, mixed with its length."""
+        """Each word's bytes mixed in by eights, with its length; of words over BLOCKS eights the rest by a multilinear hash."""
         lengths = self.ends - self.starts
+        out = lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         if not len(lengths):
-            return np.zeros(0, np.uint64)
-        heads = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(heads, lengths)
-        value = self._low[self._inside].astype(np.uint64) + np.uint64(1)
-        value *= keys(int(lengths.max()))[place]
-        return mix(np.add.reduceat(value, heads) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            return out
+        padded = np.concatenate([self._low, np.zeros(8, np.uint8)])
+        eights = np.ndarray(len(self._low) + 1, "<u8", padded, strides=(1,))
+        active = np.arange(len(lengths))
+        for k in range(BLOCKS):
+            left = lengths[active] - 8 * k
+            out[active] = mix(out[active] ^ eights[self.starts[active] + 8 * k] & _FIRST[np.minimum(left, 8)])
+            active = active[left > 8]
+            if not len(active):
+                return out
+        starts, rest = self.starts[active] + 8 * BLOCKS, lengths[active] - 8 * BLOCKS
+        heads = np.concatenate(([0], np.cumsum(rest)[:-1]))
+        place = np.arange(int(rest.sum()), dtype=np.int64) - np.repeat(heads, rest)
+        value = self._low[np.repeat(starts, rest) + place].astype(np.uint64) + np.uint64(1)
+        value *= keys(int(rest.max()))[place]
+        out[active] = mix(out[active] ^ np.add.reduceat(value, heads))
+        return out
