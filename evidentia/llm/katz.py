@@ -12,8 +12,9 @@ than 1/2 in c(h) + 1/2 counts; it frees that much, so that no word has probabili
 How it is laid out. Texts become chunks of about CHUNK_BYTES: each chunk's distinct words and token numbers are written once
 to a shard in the shared folder. For each order, a chunk asks for its distinct n-grams, pre-counted, once: requests are
 dealt by hash to parts that grow in number with the corpus, a part adds up the counts of all chunks and answers each
-chunk, and the answers are a table partitioned by kind (answers, statistics, hot contexts). The chunks of a bundle, whose
-number grows with the corpus, share one row for each part. A part holds whole contexts, so it knows their sums; contexts
+chunk, and the answers are a table partitioned by kind (answers, statistics, hot contexts), which is dropped once each
+bundle's answers lie in a file of its own. The chunks of a bundle, whose number grows with the corpus, share one row for
+each part. A part holds whole contexts, so it knows their sums; contexts
 with over `hot` training tokens are spread over several parts by their next word, and their sums meet in one row each, at
 most HOT_CONTEXTS of them by choice of `hot`. The last pass evaluates each token recursively from the answers. No table of
 n-grams is ever sent to all executors.
@@ -60,6 +61,7 @@ MOST_TASKS = 32_768
 
 _END = np.uint64(0x9E3779B97F4A7C15)
 _ROW = "kind string, bundle string, part int, data binary"
+_INDEX = "ordinal", "chunk", "length", "ids", "held", "kept"
 
 
 # ---------------------------------------------------------------- packed arrays
@@ -507,31 +509,74 @@ def resolve(chunk: Chunk, model: Model, answers: dict[int, dict[int, list[bytes]
     return levels, Request(chunk, model, upto + 1, levels[-1], levels[0]) if asks else None
 
 
-def gather(index: DataFrame, answered: dict[int, DataFrame], work: Workspace, model: Model, upto: int, bundles: int, then: Callable[[str, list[list], Iterator], pa.Table], schema: str, asks: bool) -> DataFrame:
-    """then(bundle, its chunks' ids and held, their levels and requests one after another) for each bundle with all its answers so far."""
-    folder = f"{work.path}/tokens"
+def with_answers(index: DataFrame, answered: DataFrame | None) -> DataFrame:
+    """Rows of chunks (part null) and of answers."""
+    own = index.select("bundle", F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("data"), *_INDEX)
+    if answered is None:
+        return own
+    return own.unionByName(answered.filter("kind = 'answer'").select("bundle", "part", "data"), allowMissingColumns=True)
+
+
+def split(table: pa.Table) -> tuple[pa.Table, dict[int, bytes]]:
+    """Chunks' rows, and answers by part."""
+    is_chunk = pc.is_null(table.column("part"))
+    answers = table.filter(pc.invert(is_chunk))
+    return table.filter(is_chunk), dict(zip(answers.column("part").to_pylist(), answers.column("data").to_pylist(), strict=True))
+
+
+def keep(index: DataFrame, answered: DataFrame, work: Workspace, order: int, bundles: int) -> DataFrame:
+    """The index, each bundle's answers now in a file beside those of lower orders, so that no later pass moves them again."""
+    folder = f"{work.path}/kept"
+
+    def run(table: pa.Table) -> pa.Table:
+        chunks, answers = split(table)
+        system, path = filesystem(folder)
+        system.create_dir(path, recursive=True)
+        name = uuid.uuid4().hex
+        with system.open_output_stream(f"{path}/{name}") as out:
+            out.write(frame(pack(np.array(list(answers), np.uint64)), *answers.values()))
+        kept = pa.array([[*(k or []), name] for k in chunks.column("kept").to_pylist()], pa.list_(pa.string()))
+        at = chunks.column_names.index("kept")
+        return chunks.set_column(at, "kept", kept).select(["bundle", *_INDEX])
+
+    kept = by_bundle(with_answers(index, answered), bundles).groupBy("bundle").applyInArrow(run, index.select("bundle", *_INDEX).schema)
+    return work.table(f"index{order}", kept)
+
+
+def kept_answers(work_path: str, names: list[str]) -> list[dict[int, bytes]]:
+    """For each order the kept answers by part."""
+    system, path = filesystem(f"{work_path}/kept")
+    out = []
+    for name in names:
+        with system.open_input_stream(f"{path}/{name}") as f:
+            parts, *data = unframe(f.read())
+        out.append(dict(zip(unpack(parts).tolist(), data, strict=True)))
+    return out
+
+
+def gather(index: DataFrame, answered: DataFrame | None, work: Workspace, model: Model, upto: int, bundles: int, then: Callable[[str, list[list], Iterator], pa.Table], schema: str, asks: bool) -> DataFrame:
+    """then(bundle, its chunks' ids and held, their levels and requests one after another) for each bundle with its answers.
+
+    Answers of the lower orders are kept; answered has those of order upto, if they are not kept too.
+    """
+    work_path = work.path
     shared = index.sparkSession.sparkContext.broadcast(model)
-    own = index.select("bundle", F.lit(0).alias("order"), F.lit(0).alias("part"), F.lit(None).cast("binary").alias("data"), "ordinal", "chunk", "length", "ids", "held")
-    for order, table in answered.items():
-        blank = (F.lit(None).cast(t) for t in ("bigint", "string", "bigint", "array<bigint>", "array<boolean>"))
-        own = own.unionAll(table.filter("kind = 'answer'").select("bundle", F.lit(order), "part", "data", *blank))
 
     def run(table: pa.Table) -> pa.Table:
-        answers = [(o, p, unframe(d)) for o, p, d in zip(*(table.column(k).to_pylist() for k in ("order", "part", "data")), strict=True) if o]
-        names, lengths, *rest = members(table.filter(pc.equal(table.column("order"), 0)), "ids", "held")
+        chunks, last = split(table)
+        names, lengths, ids, held = members(chunks, "ids", "held")
+        known = kept_answers(work_path, chunks.column("kept")[0].as_py() or [])
+        known = [{p: unframe(d) for p, d in k.items()} for k in [*known, *([last] if last else [])]]
 
         def each() -> Iterator[tuple[Chunk, list[Level], Request | None]]:
             for i, (name, length) in enumerate(zip(names, lengths, strict=True)):
-                mine: dict[int, dict[int, list[bytes]]] = {o: {} for o in range(1, upto + 1)}
-                for o, p, framed in answers:
-                    if framed[i]:
-                        mine[o][p] = unframe(framed[i])
-                chunk = read_chunk(folder, name, length)
+                mine = {o: {p: unframe(framed[i]) for p, framed in k.items() if framed[i]} for o, k in enumerate(known, 1)}
+                chunk = read_chunk(f"{work_path}/tokens", name, length)
                 yield chunk, *resolve(chunk, shared.value, mine, upto, asks)
 
-        return then(table.column("bundle")[0].as_py(), rest, each())
+        return then(table.column("bundle")[0].as_py(), [ids, held], each())
 
-    return by_bundle(own, bundles).groupBy("bundle").applyInArrow(run, schema)
+    return by_bundle(with_answers(index, answered), bundles).groupBy("bundle").applyInArrow(run, schema)
 
 
 def ask_grams(bundle: str, rest: list[list], each: Iterator) -> pa.Table:
@@ -572,19 +617,20 @@ def score(docs: DataFrame, order: int = ORDER, part_grams: int = PART_GRAMS, hot
     total, taught, chunks = index.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("taught"), F.lit(0)), F.count("*")).first()
     per = min(BUNDLE, 1 + chunks // BUNDLE_STEP)
     bundles = -(-chunks // per)
-    index = index.withColumn("bundle", F.concat_ws(":", "file", F.floor(F.col("ordinal") / per)))
+    index = index.withColumn("bundle", F.concat_ws(":", "file", F.floor(F.col("ordinal") / per))).withColumn("kept", F.lit(None).cast("array<string>"))
     model = Model(max(2, min(20, round(0.5 + log2(max(1, total / part_grams))))), hot or max(part_grams, total // HOT_CONTEXTS + 1))
     model.texts = taught
     parts = 1 << model.bits
-    answered: dict[int, DataFrame] = {}
-    if total:
-        words = ask_words(index, work, model.bits, bundles)
-        answered[1] = work.table("order1", words.repartition(parts, "part").groupBy("part").applyInArrow(answer_words, _ROW), ["kind"])
-        statistics(model, 1, answered[1])
-        for n in range(2, order + 1):
-            asked = gather(index, answered, work, model, n - 1, bundles, ask_grams, _ROW, asks=True)
-            answered[n] = work.table(f"order{n}", asked.repartition(parts, "part").groupBy("part").applyInArrow(grams_answerer(n < order), _ROW), ["kind"])
-            statistics(model, n, answered[n])
+    answered = None
+    for n in range(1, order + 1 if total else 1):
+        if n == 1:
+            asked, answer = ask_words(index, work, model.bits, bundles), answer_words
+        else:
+            index = keep(index, answered, work, n - 1, bundles)
+            work.drop(f"order{n - 1}")
+            asked, answer = gather(index, None, work, model, n - 1, bundles, ask_grams, _ROW, asks=True), grams_answerer(n < order)
+        answered = work.table(f"order{n}", asked.repartition(parts, "part").groupBy("part").applyInArrow(answer, _ROW), ["kind"])
+        statistics(model, n, answered)
 
     tokens, vocabulary = model.tokens, model.vocabulary
 
