@@ -21,7 +21,8 @@ n-grams is ever sent to all executors.
 
 What crosses the network is whole numbers only. The sum of P(n-1) over the words seen after h is s(h') / c(h') times the sum
 of their discounted counts after h', as a word seen after h was seen after h'; so requests carry those counts, answers
-their tallies, and the asking chunk, which knows s(h') / c(h'), gets the exact sum.
+their tallies, and the asking chunk, which knows s(h') / c(h'), gets the exact sum. For a context of the highest order that no other chunk
+has, which the answers below say, a chunk needs no answer: it only hands in the tally of counts.
 
 Null and empty texts are one end token. A null id is held out nowhere and trains nothing. Repeated rows count each time. An
 empty table gives no rows; without training rows all tokens are unknown. Further columns are ignored. Texts of any length
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from math import log2
 
@@ -232,17 +234,17 @@ def part_of(key: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Level:
-    """What a chunk knows of one order: for each distinct n-gram (`of` maps tokens to them) count, number, s(h) / c(h) of its context, and p."""
+    """What a chunk knows of one order: for each distinct n-gram (`of` maps tokens to them) its count, whether no other chunk has it, number, s(h) / c(h) of its context, and p."""
 
-    def __init__(self, of: np.ndarray, count: np.ndarray, number: np.ndarray | None, factor: np.ndarray, p: np.ndarray):
-        self.of, self.count, self.number, self.factor, self.p = of, count, number, factor, p
+    def __init__(self, of: np.ndarray, count: np.ndarray, alone: np.ndarray | None, number: np.ndarray | None, factor: np.ndarray, p: np.ndarray):
+        self.of, self.count, self.alone, self.number, self.factor, self.p = of, count, alone, number, factor, p
 
 
 class Model:
-    """What all tasks know: bits of the number of parts, training tokens and texts; for each order counts of counts, offsets of parts' numbers, and hot contexts."""
+    """What all tasks know: bits of the number of parts, the highest order, training tokens and texts; for each order counts of counts, offsets of parts' numbers, and hot contexts."""
 
-    def __init__(self, bits: int, hot: int):
-        self.bits, self.hot = bits, hot
+    def __init__(self, bits: int, hot: int, top: int):
+        self.bits, self.hot, self.top = bits, hot, top
         self.tokens = self.vocabulary = self.texts = 0
         self.counts: dict[int, np.ndarray] = {}
         self.offsets: dict[int, np.ndarray] = {}
@@ -253,7 +255,10 @@ class Model:
 
 
 class Request:
-    """A chunk's distinct n-grams of one order above 1, by part, context and word."""
+    """A chunk's distinct n-grams of one order above 1, by part, context and word.
+
+    Contexts of the highest order that no other chunk has stay at home: they come last, in a part that no task has.
+    """
 
     def __init__(self, chunk: Chunk, model: Model, order: int, below: Level, unigrams: Level):
         # every n-gram of the order below is a context; one more stands for the start of a text
@@ -264,8 +269,10 @@ class Request:
         context[chunk.heads] = len(number) - 1
         # a hot context is as many contexts as there are parts for its words
         part = part_of(mix(number), model.bits)
+        home = np.append(below.alone, False) & (order == model.top)
+        part[home] = self.home = 1 << model.bits
         fan = np.minimum(heat // max(1, model.hot) + 1, 1 << model.bits)
-        spread = np.flatnonzero(heat[context] > model.hot)
+        spread = np.flatnonzero((heat > model.hot)[context] & ~home[context])
         if len(spread):
             word = mix(unigrams.number[unigrams.of[spread]])
             owner = context[spread]
@@ -273,14 +280,14 @@ class Request:
             owner, shift = owner[pair], (word[pair] % fan[owner[pair]].astype(np.uint64)).astype(np.int64)
             context[spread] = len(number) + at
             part = np.append(part, (part[owner] + shift) % (1 << model.bits))
-            number, heat = np.append(number, number[owner]), np.append(heat, heat[owner])
+            number, heat, home = np.append(number, number[owner]), np.append(heat, heat[owner]), np.append(home, home[owner])
         by_part, by_number = distinct(part, number)[1], ranks(np.argsort(unigrams.number))
         first, self.of = distinct(by_part[context], by_number[unigrams.of])
         self.count = np.bincount(self.of, weights=chunk.teaches, minlength=len(first)).astype(np.int64)
         under = below.of[first]
         self.sent, self.lower, self.factor = below.count[under], below.p[under], below.factor[under]
         context = context[first]
-        self.part, self.context, self.is_hot = part[context], number[context], heat[context] > model.hot
+        self.part, self.context, self.is_hot = part[context], number[context], ((heat > model.hot) & ~home)[context]
         self.word = unigrams.number[unigrams.of[first]]
         new = np.ones(len(first), dtype=bool)
         new[1:] = context[1:] != context[:-1]
@@ -293,10 +300,13 @@ class Request:
         for a, b in zip([0, *cuts], [*cuts, len(self.part)], strict=True):
             yield int(self.part[a]), slice(a, b), slice(int(self.run_of[a]), int(self.run_of[b - 1]) + 1)
 
-    def dump(self, own: slice, runs: slice) -> bytes:
+    def dump(self, part: int, own: slice, runs: slice) -> bytes:
+        """The request to a part; of what stays at home the tally of counts."""
         starts = self.run_starts[runs]
         lengths = np.diff(np.append(starts, own.stop))
         taught = self.count[own] > 0
+        if part == self.home:
+            return frame(pack(tally(self.count[own])))
         return frame(pack(self.context[starts], rising=True), pack(lengths), pack(self.is_hot[starts].astype(np.uint8)), pack(self.word[own]), pack(self.count[own]), pack(self.sent[own][taught]))
 
 
@@ -339,6 +349,7 @@ def tally(count: np.ndarray) -> np.ndarray:
 
 def opened(table: pa.Table) -> tuple[list[str], list[int], list[list[np.ndarray]]]:
     """Requests of a part: bundles, the number of chunks of each, and the chunks' arrays."""
+    table = table.filter(pc.equal(table.column("kind"), "ask"))
     framed = [unframe(raw) for raw in table.column("data").to_pylist()]
     return table.column("bundle").to_pylist(), [len(f) for f in framed], [[unpack(b) for b in unframe(raw)] if raw else [] for f in framed for raw in f]
 
@@ -357,10 +368,10 @@ def answer_words(table: pa.Table) -> pa.Table:
     some = [a for a in asked if a]
     every, of = np.unique(np.concatenate([a[0] for a in some]), return_inverse=True)
     count = np.bincount(of, weights=np.concatenate([a[1] for a in some]), minlength=len(every)).astype(np.int64)
-    out, at = [], 0
+    out, at, alone = [], 0, np.bincount(of, minlength=len(every)) == 1
     for a in asked:
         own = of[at : at + len(a[0])] if a else []
-        out.append(frame(pack(count[own]), pack(own, rising=True)) if a else b"")
+        out.append(frame(pack(count[own]), pack(own, rising=True), pack(alone[own])) if a else b"")
         at += len(own)
     return closed(table.column("part")[0].as_py(), bundles, sizes, out, np.array([count.sum(), (count > 0).sum(), len(every), *tally(count)], np.uint64))
 
@@ -369,6 +380,9 @@ def answer_grams(table: pa.Table, numbered: bool) -> pa.Table:
     """A part of a higher order: counts, sums of contexts and, if numbered, numbers for each chunk; statistics; hot contexts' sums."""
     bundles, sizes, asked = opened(table)
     some = [a for a in asked if a]
+    at_home = sum((unpack(unframe(raw)[0]).astype(np.int64) for raw in table.filter(pc.equal(table.column("kind"), "home")).column("data").to_pylist()), np.zeros(CUTOFF + 2, np.int64))
+    if not some:
+        return closed(table.column("part")[0].as_py(), [], [], [], np.array([0, 0, 0, *at_home], np.uint64))
     contexts, run = np.unique(np.concatenate([a[0] for a in some]), return_inverse=True)
     every = np.repeat(run, np.concatenate([a[1] for a in some]).astype(np.int64))
     first, of = distinct(every, np.concatenate([a[3] for a in some]))
@@ -378,17 +392,17 @@ def answer_grams(table: pa.Table, numbered: bool) -> pa.Table:
     below[of[counts > 0]] = np.concatenate([a[5] for a in some])
     seen = count > 0
     sums = Sums.add_up(every[first][seen], len(contexts), count[seen], below[seen])
-    out, at, at_run = [], 0, 0
+    out, at, at_run, alone = [], 0, 0, np.bincount(of, minlength=len(first)) == 1
     for a in asked:
         if not a:
             out.append(b"")
             continue
         own = of[at : at + len(a[3])]
-        out.append(frame(pack(count[own]), pack(own, rising=True) if numbered else b"", *sums.of(run[at_run : at_run + len(a[0])]).dump()))
+        out.append(frame(pack(count[own]), *((pack(own, rising=True), pack(alone[own])) if numbered else (b"", b"")), *sums.of(run[at_run : at_run + len(a[0])]).dump()))
         at, at_run = at + len(a[3]), at_run + len(a[0])
     heat = np.concatenate([a[2] for a in some]) > 0
     hot = np.unique(run[heat])
-    stats = np.array([count.sum(), seen.sum(), len(first), *tally(count)], np.uint64)
+    stats = np.array([count.sum(), seen.sum(), len(first), *(tally(count) + at_home)], np.uint64)
     return closed(table.column("part")[0].as_py(), bundles, sizes, out, stats, frame(pack(contexts[hot], rising=True), *sums.of(hot).dump()) if len(hot) else b"")
 
 
@@ -449,10 +463,14 @@ def by_bundle(table: DataFrame, bundles: int) -> DataFrame:
     return table.repartition(max(1, min(MOST_TASKS, bundles)), "bundle")
 
 
-def sent(bundle: str, asked: list[dict[int, bytes]]) -> pa.Table:
-    """The requests of a bundle's chunks, one row for each part."""
+def sent(bundle: str, asked: list[dict[int, bytes]], bits: int) -> pa.Table:
+    """The requests of a bundle's chunks, one row for each part; tallies of what stays at home go to any parts."""
+    tallies = [own.pop(1 << bits) for own in asked if 1 << bits in own]
     parts = sorted({part for own in asked for part in own})
-    return rows(["ask"] * len(parts), [bundle] * len(parts), parts, [frame(*(own.get(part, b"") for own in asked)) for part in parts])
+    kinds = ["ask"] * len(parts) + ["home"] * len(tallies)
+    data = [frame(*(own.get(part, b"") for own in asked)) for part in parts] + tallies
+    parts += [zlib.crc32(bundle.encode()) % (1 << bits)] * len(tallies)
+    return rows(kinds, [bundle] * len(parts), parts, data)
 
 
 def ask_words(index: DataFrame, work: Workspace, bits: int, bundles: int) -> DataFrame:
@@ -465,7 +483,7 @@ def ask_words(index: DataFrame, work: Workspace, bits: int, bundles: int) -> Dat
             count = np.bincount(chunk.tokens, weights=chunk.teaches, minlength=len(chunk.words)).astype(np.int64)
             cuts = np.searchsorted(part_of(chunk.words, bits), np.arange((1 << bits) + 1))
             asked.append({part: frame(pack(chunk.words[a:b], rising=True), pack(count[a:b])) for part, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a})
-        return sent(table.column("bundle")[0].as_py(), asked)
+        return sent(table.column("bundle")[0].as_py(), asked, bits)
 
     return by_bundle(index.select("bundle", "ordinal", "chunk", "length"), bundles).groupBy("bundle").applyInArrow(run, _ROW)
 
@@ -477,35 +495,43 @@ def members(table: pa.Table, *more: str) -> list[list]:
 
 def resolve(chunk: Chunk, model: Model, answers: dict[int, dict[int, list[bytes]]], upto: int, asks: bool) -> tuple[list[Level], Request | None]:
     """Levels 1 to upto of a chunk from its answers by order and part; if it asks, the request for the order above."""
-    counts, numbers = [], []
+    counts, numbers, alone = [], [], []
     for part in sorted(answers[1]):
-        count, number = map(unpack, answers[1][part])
+        count, number, single = map(unpack, answers[1][part])
         counts.append(count.astype(np.int64))
+        alone.append(single > 0)
         numbers.append(number + np.uint64(model.offsets[1][part]))
     count = np.concatenate(counts)
     p, scale = unigram(count, model.tokens, model.counts[1])
-    levels = [Level(chunk.tokens, count, np.concatenate(numbers), np.full(len(count), scale), p)]
+    levels = [Level(chunk.tokens, count, np.concatenate(alone), np.concatenate(numbers), np.full(len(count), scale), p)]
     for order in range(2, upto + 1):
         request = Request(chunk, model, order, levels[-1], levels[0])
-        count, number, factor, alpha = [], [], [], []
+        count, number, alone, factor, alpha = [], [], [], [], []
         d, d_below = discounts(model.counts[order]), discounts(model.counts[order - 1])
         for part, own, runs in request.slices():
-            blobs = answers[order][part]
-            count.append(unpack(blobs[0]).astype(np.int64))
-            if blobs[1]:
-                number.append(unpack(blobs[1]) + np.uint64(model.offsets[order][part]))
             starts = request.run_starts[runs]
-            sums, hot = Sums.load(blobs[2:]), request.is_hot[starts]
+            again = request.run_of[own] - runs.start
+            if part == request.home:
+                seen = request.count[own] > 0
+                count.append(request.count[own])
+                sums = Sums.add_up(again[seen], len(starts), request.count[own][seen], request.sent[own][seen])
+            else:
+                blobs = answers[order][part]
+                count.append(unpack(blobs[0]).astype(np.int64))
+                if blobs[1]:
+                    number.append(unpack(blobs[1]) + np.uint64(model.offsets[order][part]))
+                    alone.append(unpack(blobs[2]) > 0)
+                sums = Sums.load(blobs[3:])
+            hot = request.is_hot[starts]
             if hot.any():
                 known, whole = model.hot_sums[order]
                 sums.table[hot] = whole.table[np.searchsorted(known, request.context[starts[hot]])]
             f, a = sums.weights(d, d_below, request.factor[starts])
-            again = request.run_of[own] - runs.start
             factor.append(f[again])
             alpha.append(a[again])
         count, factor, alpha = map(np.concatenate, (count, factor, alpha))
         p = np.where(count > 0, factor * d_of(d, count) * count, alpha * request.lower)
-        levels.append(Level(request.of, count, np.concatenate(number) if number else None, factor, p))
+        levels.append(Level(request.of, count, *(np.concatenate(x) if x else None for x in (alone, number)), factor, p))
     return levels, Request(chunk, model, upto + 1, levels[-1], levels[0]) if asks else None
 
 
@@ -579,9 +605,12 @@ def gather(index: DataFrame, answered: DataFrame | None, work: Workspace, model:
     return by_bundle(with_answers(index, answered), bundles).groupBy("bundle").applyInArrow(run, schema)
 
 
-def ask_grams(bundle: str, rest: list[list], each: Iterator) -> pa.Table:
-    del rest
-    return sent(bundle, [{part: request.dump(a, runs) for part, a, runs in request.slices()} for _, _, request in each])
+def grams_asker(bits: int) -> Callable[[str, list[list], Iterator], pa.Table]:
+    def ask(bundle: str, rest: list[list], each: Iterator) -> pa.Table:
+        del rest
+        return sent(bundle, [{part: request.dump(part, a, runs) for part, a, runs in request.slices()} for _, _, request in each], bits)
+
+    return ask
 
 
 def statistics(model: Model, order: int, answered: DataFrame) -> None:
@@ -618,7 +647,7 @@ def score(docs: DataFrame, order: int = ORDER, part_grams: int = PART_GRAMS, hot
     per = min(BUNDLE, 1 + chunks // BUNDLE_STEP)
     bundles = -(-chunks // per)
     index = index.withColumn("bundle", F.concat_ws(":", "file", F.floor(F.col("ordinal") / per))).withColumn("kept", F.lit(None).cast("array<string>"))
-    model = Model(max(2, min(20, round(0.5 + log2(max(1, total / part_grams))))), hot or max(part_grams, total // HOT_CONTEXTS + 1))
+    model = Model(max(2, min(20, round(0.5 + log2(max(1, total / part_grams))))), hot or max(part_grams, total // HOT_CONTEXTS + 1), order)
     model.texts = taught
     parts = 1 << model.bits
     answered = None
@@ -628,7 +657,7 @@ def score(docs: DataFrame, order: int = ORDER, part_grams: int = PART_GRAMS, hot
         else:
             index = keep(index, answered, work, n - 1, bundles)
             work.drop(f"order{n - 1}")
-            asked, answer = gather(index, None, work, model, n - 1, bundles, ask_grams, _ROW, asks=True), grams_answerer(n < order)
+            asked, answer = gather(index, None, work, model, n - 1, bundles, grams_asker(model.bits), _ROW, asks=True), grams_answerer(n < order)
         answered = work.table(f"order{n}", asked.repartition(parts, "part").groupBy("part").applyInArrow(answer, _ROW), ["kind"])
         statistics(model, n, answered)
 
