@@ -40,6 +40,29 @@ SCOPE = 256
 MASK = "[SECRET]"
 
 
+def running(values: Column, step) -> Column:
+    """step (sum or maximum, 0 the neutral element) of each of values (array<int>) with all before it.
+
+    An array grows by copying, so values are taken in blocks of about sqrt(n): each block by itself, then the blocks' ends.
+    """
+    zero = lambda: F.struct(F.lit(0).alias("now"), F.array().cast("array<int>").alias("out"))
+
+    def grow(a: Column, x: Column) -> Column:
+        now = step(a["now"], x).cast("int")
+        return F.struct(now.alias("now"), F.concat(a["out"], F.array(now)).alias("out"))
+
+    def blocks(size: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(values), size)
+        own = F.transform(starts, lambda at: F.aggregate(F.slice(values, at, size), zero(), grow))
+        return let(own, lambda o: let(F.aggregate(F.transform(o, lambda x: x["now"]), zero(), grow, lambda a: a["out"]), lambda ends: F.flatten(F.transform(o, lambda x, i: F.transform(x["out"], lambda v: F.when(i > 0, step(F.get(ends, i - 1), v)).otherwise(v).cast("int"))))))
+
+    return F.when(F.size(values) > 0, let(F.ceil(F.sqrt(F.size(values))).cast("int"), blocks)).otherwise(F.array().cast("array<int>"))
+
+
+def total(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def matches(text: Column, pattern: str, may: str) -> Column:
     """array<struct<s,e,m>> of the pattern's leftmost matches; texts in which `may` isn't found are not scanned.
 
@@ -47,13 +70,9 @@ def matches(text: Column, pattern: str, may: str) -> Column:
     """
 
     def places(pieces: Column, found: Column) -> Column:
-        step = lambda a, m, i: F.struct(
-            (a["at"] + F.length(F.get(pieces, i)) + F.length(m)).cast("int").alias("at"),
-            F.concat(a["out"], F.array(F.struct((a["at"] + F.length(F.get(pieces, i))).cast("int").alias("s"), (a["at"] + F.length(F.get(pieces, i)) + F.length(m)).cast("int").alias("e"), m.alias("m")))).alias("out"),
-        )
-        numbered = F.transform(found, lambda m, i: F.struct(m.alias("m"), i.alias("i")))
-        zero = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out"))
-        return F.aggregate(numbered, zero, lambda a, x: step(a, x["m"], x["i"]), lambda a: a["out"])
+        steps = F.transform(found, lambda m, i: (F.length(F.get(pieces, i)) + F.length(m)).cast("int"))
+        ends = lambda e: F.transform(found, lambda m, i: F.struct((F.get(e, i) - F.length(m)).cast("int").alias("s"), F.get(e, i).alias("e"), m.alias("m")))
+        return let(steps, lambda n: let(running(n, total), ends))
 
     found = let(F.split(text, pattern, -1), lambda p: let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: places(p, m)))
     return F.when(text.rlike(may), found).otherwise(F.array().cast("array<struct<s:int,e:int,m:string>>"))
@@ -111,15 +130,17 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """text with every span, overlapping ones as one, replaced by MASK."""
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("int").alias("at"))
+    """text with every span, overlapping ones as one, replaced by MASK. What stays is cut from four-byte letters, whose places need no search."""
 
-    def step(a: Column, x: Column) -> Column:
-        fresh = x["s"] >= a["at"]
-        gap = F.when(fresh, F.concat(F.substring(text, a["at"] + 1, x["s"] - a["at"]), F.lit(MASK))).otherwise(F.lit(""))
-        return F.struct(F.concat(a["out"], gap).alias("out"), F.greatest(a["at"], x["e"]).cast("int").alias("at"))
+    def gaps(raw: Column, sorted_spans: Column, past: Column) -> Column:
+        fresh = lambda x, i: (i == 0) | (x["s"] >= F.get(past, i - 1))
+        before = F.transform(sorted_spans, lambda x, i: F.when(fresh(x, i), F.struct(F.when(i == 0, 0).otherwise(F.get(past, i - 1)).alias("a"), x["s"].alias("b"))))
+        cut = lambda a, n: F.decode(F.substring(raw, 4 * a + 1, 4 * n), "UTF-32")
+        kept = F.transform(F.filter(before, lambda g: g.isNotNull()), lambda g: cut(g["a"], g["b"] - g["a"]))
+        return F.array_join(F.concat(kept, F.array(cut(F.element_at(past, -1), F.length(raw)))), MASK)
 
-    return F.aggregate(F.array_sort(spans), zero, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    ends = lambda x: running(F.transform(x, lambda p: p["e"]), F.greatest)
+    return let(F.encode(text, "UTF-32"), lambda raw: let(F.array_sort(spans), lambda x: let(ends(x), lambda past: gaps(raw, x, past))))
 
 
 def redact(docs: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Quality rules and secret scans against plain Python, with nulls, empty and long texts, repeated rows and clashing columns."""
 
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -128,3 +130,52 @@ def test_redaction_masks_every_span_and_keeps_the_rest(spark):
 def test_runs(spark, text):
     (got,) = secret_scan.query(spark.createDataFrame(rows([text]), SCHEMA)).collect()
     assert [got.n_assign, got.n_access, got.n_hex] == [sum(k == i for _, k, _ in plain_base(text)) for i in range(3)]
+
+
+def plain_spans(text):
+    """Base spans, and weak ones that parts of both other roles start near, over all pairs."""
+    found = plain_base(text)
+    for k, pattern in ((3, secret_scan.IDENT), (4, secret_scan.KEY), (5, secret_scan.HOST)):
+        found += [(m.start(), k, m.end()) for m in re.finditer(pattern, text, re.A)]
+    role = {0: "secret", 1: "ident", 2: "secret", 3: "ident", 4: "secret", 5: "host"}
+    near = lambda p, r: any(role[q[1]] == r and abs(q[0] - p[0]) <= secret_scan.SCOPE for q in found)
+    kept = {p for p in found if p[1] < 3 or all(role[p[1]] == r or near(p, r) for r in ("ident", "secret", "host"))}
+    return ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in sorted(kept))
+
+
+def test_linking_equals_all_pairs(spark):
+    rng = random.Random(8)
+    makers = [
+        lambda: "ASIA" + "".join(rng.choices("ABCDEF0123456789", k=16)),
+        lambda: "aB3" + "".join(rng.choices("abcXYZ0123456789", k=34)),
+        lambda: f"https://h{rng.randrange(99)}.example.com",
+        lambda: f"10.0.{rng.randrange(256)}.{rng.randrange(256)}:80",
+        lambda: "token=" + "".join(rng.choices("ghijkl", k=14)),
+        lambda: "".join(rng.choices("0123456789abcdef", k=20)),
+    ]
+    texts = []
+    for _ in range(60):
+        own = [rng.choice(makers)() if rng.random() < 0.15 else rng.choice(["é", "word", "😀 x", "pad" * 20]) for _ in range(rng.randrange(1, 120))]
+        texts.append(rng.choice([" ", "\n", "  "]).join(own))
+    got = {r.doc_id: r.spans for r in secret_scan.query(spark.createDataFrame(rows(texts), SCHEMA)).collect()}
+    assert any("host:" in s for s in got.values()) and any("host:" not in s and ("://" in t) for s, t in zip(got.values(), texts, strict=True))
+    assert got == {i: plain_spans(t) for i, t in enumerate(texts)}
+
+
+def test_many_matches_in_one_text_take_little_time(spark):
+    text = "é0123456789abcdef " * 40_000
+    frame = spark.createDataFrame(rows([text]), SCHEMA)
+    secret_scan.query(frame.limit(0)).collect()
+    began = time.time()
+    (got,) = secret_scan.query(frame).collect()
+    (kept,) = secret_scan.redact(frame).collect()
+    assert got.n_hex == 40_000 and got.base_sha256 == hashlib.sha256(",".join(f"hex:{18 * i + 1}:{18 * i + 17}" for i in range(40_000)).encode()).hexdigest()
+    assert kept.text == "é[SECRET] " * 40_000
+    assert time.time() - began < 30
+
+
+def test_overlapping_spans_are_masked_as_one(spark):
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame([("0123é😀6789", [(1, 2, 3), (2, 2, 6), (1, 0, 5), (8, 2, 9)]), ("ab", [(0, 2, 2)]), ("abc", [(0, 2, 1), (1, 2, 2)])], "text string, spans array<struct<s:int,k:int,e:int>>")
+    assert [r[0] for r in frame.select(secret_scan.masked(F.col("text"), F.col("spans"))).collect()] == ["0[SECRET]67[SECRET]9", "[SECRET]", "[SECRET][SECRET]c"]
