@@ -4,8 +4,9 @@ Documents become token pieces of at most CAPACITY tokens; whole ones are sequenc
 blocks of about BLOCK_ITEMS pieces by a hash. Each block is solved by ISLANDS islands, one row each: an island holds a
 population of packings, starts from best-fit decreasing and shuffled best-fit ones, and breeds them. Crossover injects
 whole well-filled bins of one parent into another, drops the bins that then hold a piece twice, and best-fits the displaced
-pieces; mutation empties the worst-filled bins. Between epochs each island's elite moves to the next island of its
-block. An island stops early when no packing can have fewer bins.
+pieces, after swapping them for one or two pieces of a bin where that fills it better; mutation empties the worst-filled bins. Between epochs each island's elite moves to the next island of its
+block. An island stops early when no packing can have fewer bins, which on easy
+lengths its first packing often shows; on hard ones (few pieces to a bin) the search decides.
 
 Bins that the best island of a block leaves ill-filled are opened again, and their pieces go to the next, smaller set of
 blocks, until one block holds the rest. So the loss does not grow with the number of blocks.
@@ -13,16 +14,19 @@ blocks, until one block holds the rest. So the loss does not grow with the numbe
 A piece is known by its row, so repeated rows and null ids are packed like others. Null and empty texts have one token, the
 separator. Ties go to the lower row. An empty table gives no rows. Further columns are ignored. Token ids are made by
 Rust code of the same vocabulary and pattern as the tokenizers library's; codec() compares the vocabulary's ranks with its
-merges and takes the tokenizers library itself where they differ.
+merges and takes the tokenizers library itself where they differ, and for texts that the faster code can't take.
 """
 
 from __future__ import annotations
 
 import json
 import random
+import sys
 import zlib
+from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -39,8 +43,10 @@ VOCABULARY = "byte_bpe_50k.json"
 BLOCK_ITEMS = 4000
 ISLANDS = 3
 EPOCHS = 2
-POPULATION = 4
-GENERATIONS = 3
+POPULATION = 6
+GENERATIONS = 6
+#: Bins of more pieces are not searched for swaps, as best fit fills them well.
+SWAPPED = 6
 #: Bins with more free tokens than this are opened again for the next set of blocks.
 FREE = 24
 
@@ -52,9 +58,19 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=2)
+def library(file: str) -> Callable[[str], np.ndarray]:
+    """Text to ids by the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(file)
+    own.encode_special_tokens = True
+    return lambda text: np.array(own.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+
 @lru_cache(maxsize=2)
 def codec(file: str) -> Callable[[str], np.ndarray]:
-    """Text to ids."""
+    """Text to ids. Texts whose runs of white space are too long for the faster code go to the tokenizers library."""
     with open(file, encoding="utf-8") as f:
         spec = json.load(f)
     model, split = spec["model"], spec["pre_tokenizer"]
@@ -62,18 +78,22 @@ def codec(file: str) -> Callable[[str], np.ndarray]:
     pairs = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
     ordered = [vocab.get(a + b) for a, b in pairs]
     same = model["type"] == "BPE" and spec["normalizer"] is None and split["type"] == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"] and not model["ignore_merges"]
-    if same and None not in ordered and ordered == sorted(set(ordered)) and len(ordered) + 256 == len(vocab):
-        import tiktoken
+    ranks = {bytes(letters[c] for c in word): i for word, i in vocab.items() if all(c in letters for c in word)}
+    if not same or None in ordered or ordered != sorted(set(ordered)) or len(ordered) + 256 != len(vocab) or len(ranks) != len(vocab):
+        return library(file)
+    import tiktoken
 
-        ranks = {bytes(letters[c] for c in word): i for word, i in vocab.items() if all(c in letters for c in word)}
-        if len(ranks) == len(vocab):
-            own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            return lambda text: np.array(own.encode_ordinary(text), dtype="<u4")
-    from tokenizers import Tokenizer
+    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    slow = Tokenizer.from_file(file)
-    slow.encode_special_tokens = True
-    return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def encode(text: str) -> np.ndarray:
+        try:
+            return np.array(fast.encode_ordinary(text), dtype="<u4")
+        except BaseException as why:  # a panic of its pattern's stack derives from BaseException alone
+            if type(why).__name__ != "PanicException":
+                raise
+            return library(file)(text)
+
+    return encode
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -130,6 +150,24 @@ def best_fit(lengths: list[int], order: list[int], bins: list[Bin], capacity: in
     return bins
 
 
+def fullest(own: list[tuple[int, int]], low: int, high: int) -> tuple[int, ...] | None:
+    """Places of one or two of the sorted lengths whose sum is the largest in (low, high]."""
+    best, places = low, None
+    j = bisect_right(own, (high, sys.maxsize)) - 1
+    if j >= 0 and own[j][0] > best:
+        best, places = own[j][0], (j,)
+    i, j = 0, len(own) - 1
+    while i < j and best < high:
+        total = own[i][0] + own[j][0]
+        if total > high:
+            j -= 1
+        else:
+            if total > best:
+                best, places = total, (i, j)
+            i += 1
+    return places
+
+
 class Island:
     """A population of packings of one block; lengths fall from place to place."""
 
@@ -154,21 +192,40 @@ class Island:
             jitter = [i + self.rng.random() * n * 0.02 for i in range(n)]
             self.people.append(best_fit(self.lengths, sorted(range(n), key=jitter.__getitem__), [], self.capacity))
 
+    def swap(self, bins: list[Bin], loose: list[int]) -> list[int]:
+        """Puts loose items in bins for one or two of theirs, in place, where that fills the bin better; returns what is then loose."""
+        own = sorted((self.lengths[x], x) for x in loose)
+        for b in bins:
+            free = self.capacity - sum(self.lengths[x] for x in b)
+            if not free or len(b) > SWAPPED:
+                continue
+            for out in [(x,) for x in b] + list(combinations(b, 2)):
+                need = sum(self.lengths[x] for x in out)
+                if (into := fullest(own, need, need + free)):
+                    b[:] = [x for x in b if x not in out] + [own[i][1] for i in into]
+                    free -= sum(own[i][0] for i in into) - need
+                    own = [v for i, v in enumerate(own) if i not in into]
+                    for x in out:
+                        insort(own, (self.lengths[x], x))
+                    break
+        return [x for _, x in own]
+
     def cross(self, giver: list[Bin], taker: list[Bin]) -> list[Bin]:
         by_fill = sorted(giver, key=lambda b: -sum(self.lengths[x] for x in b))
         injected = [list(b) for b in by_fill[: max(1, len(by_fill) // 2)] if self.rng.random() < 0.5]
         held = {x for b in injected for x in b}
         kept = [list(b) for b in taker if held.isdisjoint(b)]
         displaced = [x for b in taker if not held.isdisjoint(b) for x in b if x not in held]
-        return best_fit(self.lengths, sorted(displaced), injected + kept, self.capacity)
+        return best_fit(self.lengths, sorted(self.swap(kept, displaced)), injected + kept, self.capacity)
 
     def mutate(self, bins: list[Bin]) -> list[Bin]:
         ranked = sorted(bins, key=lambda b: -sum(self.lengths[x] for x in b))
         worst = max(1, len(ranked) // 50)
         kept, opened = ranked[:-worst], ranked[-worst:]
         also = {self.rng.randrange(len(kept)) for _ in range(min(worst, len(kept)))} if kept else set()
-        freed = sorted(x for b in [*opened, *(kept[i] for i in also)] for x in b)
-        return best_fit(self.lengths, freed, [list(b) for i, b in enumerate(kept) if i not in also], self.capacity)
+        freed = [x for b in [*opened, *(kept[i] for i in also)] for x in b]
+        left = [list(b) for i, b in enumerate(kept) if i not in also]
+        return best_fit(self.lengths, sorted(self.swap(left, freed)), left, self.capacity)
 
     def evolve(self, generations: int = GENERATIONS) -> list[Bin]:
         """The elite after some generations; the best POPULATION of parents and children live on."""
@@ -265,7 +322,7 @@ def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, block_item
         placed = solve(todo, blocks, level, work, capacity)
         again = placed.filter(F.col("free") > FREE)
         remain = again.count() if blocks > 1 else 0
-        if 2 * remain > left:  # hardly anything fits; another round would end no better
+        if 2 * remain > left:  # most bins can't be filled; each block's packing stands, at most a bin or so above its own least
             remain = 0
         kept = placed if not remain else placed.filter(F.col("free") <= FREE)
         done = done.unionAll(kept.select("item", "sequence_id", "offset"))

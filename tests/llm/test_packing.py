@@ -80,3 +80,32 @@ def test_items_that_never_fit_together(spark):
 @pytest.mark.parametrize(("n", "parts"), [(1, [(0, 1)]), (2048, [(0, 2048)]), (2049, [(0, 1), (1, 2048)]), (4096, [(0, 2048), (2048, 2048)])])
 def test_cuts(n, parts):
     assert packing.cut(n) == parts
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000, "\n" * 1_000_000, "a" + " \n" * 700_000 + "b", "x" * 300_000])
+def test_very_long_runs_have_the_librarys_ids(library, text):
+    assert packing.codec(FILE)(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def triplets(rng, bins, capacity):
+    """Lengths of which three at a time fill a bin."""
+    out = []
+    for _ in range(bins):
+        a = rng.randint(capacity * 38 // 100, capacity * 49 // 100)
+        b = rng.randint((capacity - a) * 42 // 100, (capacity - a) // 2)
+        out += [a, b, capacity - a - b]
+    return sorted(out, reverse=True)
+
+
+def test_search_beats_best_fit_decreasing():
+    rng = random.Random(11)
+    saved = 0
+    for seed in range(4):
+        lengths = triplets(rng, 60, 2048)
+        first = len(packing.best_fit(lengths, list(range(len(lengths))), [], 2048))
+        own = packing.Island(lengths, seed)
+        found = own.evolve()
+        assert sorted(x for b in found for x in b) == list(range(len(lengths))) and max(sum(lengths[x] for x in b) for b in found) <= 2048
+        assert own.least == 60 <= len(found) <= first
+        saved += first - len(found)
+    assert saved >= 20
