@@ -4,11 +4,13 @@ score = sigmoid(w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j) over the distin
 pairwise part is taken as half of |sum v_i|^2 - sum |v_i|^2. Terms are lower-cased runs of letters, digits and non-ASCII
 characters, hashed to 64 bits and to one of BUCKETS buckets.
 
-The machine is fitted on at most TRAIN_ROWS labelled rows, those with the smallest hashes of doc_id; its terms are the at
-most TERMS buckets whose presence depends most on the label. Both bound the broadcast model.
+The machine is fitted on at most TRAIN_ROWS labelled documents, those with the smallest hashes of doc_id; its terms are the
+at most TERMS buckets whose presence depends most on the label, in all texts or in those with a term of the first kind, as
+a group's name may mean nothing but beside an insult. Both bound the broadcast model. One document in VALID is not fitted
+on: those choose the number of steps and the cut, which becomes a score of 0.5.
 
 Null and empty texts get the score of a text without terms. Rows with a null or other label teach nothing; a document with
-several label rows is toxic if any says so. Without labels the score is 0. A null id is neither held out nor used in
+several label rows is toxic if any says so; one with several texts teaches by the greatest. Without labels the score is 0. A null id is neither held out nor used in
 training. Repeated rows are scored alike. Further columns are ignored.
 """
 
@@ -29,14 +31,16 @@ from evidentia.llm.textscan import ALNUM, Words, utf8
 TRAIN_ROWS = 20_000
 TERMS = 4096
 BUCKETS = 1 << 24
-#: Latent factors; steps over the whole sample; their size; pull towards 0.
+#: Latent factors; numbers of steps over the sample, of which the best is taken; their size; pull towards 0.
 FACTORS = 4
-STEPS = 150
+STEPS = (100, 150, 200, 300, 400)
 STEP = 0.05
 DECAY = 1e-4
 #: A term must stand in this many training texts and depend on the label with this chi-square.
 LEAST_TEXTS = 8
-LEAST_CHI2 = 40.0
+LEAST_CHI2 = 16.0
+#: One row in so many chooses steps and cut.
+VALID = 5
 
 
 def terms(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -71,33 +75,57 @@ def forward(of: np.ndarray, at: np.ndarray, n: int, w0: float, w: np.ndarray, v:
     return w0 + linear + 0.5 * ((sums**2).sum(axis=1) - own), sums
 
 
-def fit(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, factors: int = FACTORS) -> Model:
-    """Chooses terms by chi-square and fits by full-batch Adam; of and bucket as of terms()."""
+def chi_square(place: np.ndarray, of: np.ndarray, y: np.ndarray, inside: np.ndarray, n_terms: int) -> np.ndarray:
+    """Each term's dependence on the label over the rows inside; 0 for rare terms."""
+    n, positive = float(inside.sum()), float(y[inside].sum())
+    own = inside[of]
+    df = np.bincount(place[own], minlength=n_terms).astype(float)
+    tp = np.bincount(place[own], weights=y[of[own]], minlength=n_terms)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        chi2 = n * (tp * (n - positive - df + tp) - (df - tp) * (positive - tp)) ** 2 / (df * (n - df) * positive * (n - positive))
+    return np.where((df >= LEAST_TEXTS) & np.isfinite(chi2), chi2, 0)
+
+
+def choose(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """The terms of the machine, sorted."""
+    seen, place = np.unique(bucket, return_inverse=True)
+    chi2 = chi_square(place, of, y, inside, len(seen))
+    beside = np.zeros(len(y), bool)
+    beside[of[(chi2 >= LEAST_CHI2)[place]]] = True
+    chi2 = np.maximum(chi2, chi_square(place, of, y, inside & beside, len(seen)))
+    order = np.lexsort((seen, -chi2))[:TERMS]
+    chosen = order[chi2[order] >= LEAST_CHI2]
+    return np.sort(seen[chosen if len(chosen) else order[:1]])
+
+
+def fit(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, factors: int = FACTORS, pairs: bool = True) -> Model:
+    """Chooses terms by chi-square and fits by full-batch Adam; of and bucket as of terms(). Without pairs factors stay 0."""
     n, positive = len(y), float(y.sum())
     if not n or not 0 < positive < n:
         base = float(np.clip(positive / n if n else 0, 1e-6, 1 - 1e-6))
         return Model(np.zeros(0, np.int64), float(np.log(base / (1 - base))), np.zeros(1), np.zeros((1, factors)))
-    seen, place = np.unique(bucket, return_inverse=True)
-    df = np.bincount(place, minlength=len(seen)).astype(float)
-    tp = np.bincount(place, weights=y[of], minlength=len(seen))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi2 = n * (tp * (n - positive - df + tp) - (df - tp) * (positive - tp)) ** 2 / (df * (n - df) * positive * (n - positive))
-    chi2 = np.where((df >= LEAST_TEXTS) & np.isfinite(chi2), chi2, 0)
-    order = np.lexsort((seen, -chi2))[:TERMS]
-    chosen = np.sort(seen[order[chi2[order] >= LEAST_CHI2]])
-    if not len(chosen):
-        chosen = np.sort(seen[order[:1]])
+    aside = np.random.default_rng(5).permutation(n) % VALID == 0
+    if not (0 < y[aside].sum() < aside.sum() and 0 < y[~aside].sum() < n - aside.sum()):
+        aside[:] = False
+    taught, judged = ~aside, aside if aside.any() else ~aside
+    chosen = choose(of, bucket, y, taught)
     at = np.searchsorted(chosen, bucket)
     at[at == len(chosen)] = 0
     known = chosen[at] == bucket
     of, at = of[known], at[known]
     rng = np.random.default_rng(17)
-    base = positive / n
-    w0, w, v = float(np.log(base / (1 - base))), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), factors))
+    base = float(y[taught].mean())
+    w0, w, v = float(np.log(base / (1 - base))), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), factors)) * pairs
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (np.zeros(1), w, v)]
-    for step in range(1, STEPS + 1):
+    best: tuple | None = None
+    for step in range(1, STEPS[-1] + 2):
         total, sums = forward(of, at, n, w0, w, v)
-        error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - y) / n
+        if step - 1 in STEPS:
+            errors, cut = middle_cut(total[judged], y[judged])
+            loss = float(np.logaddexp(0, np.where(y[judged] > 0, -1, 1) * (total[judged] - cut)).mean())
+            if best is None or (errors, loss) < best[:2]:
+                best = errors, loss, w0 - cut, w.copy(), v.copy()
+        error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - y) * taught / taught.sum()
         own = error[of]
         grads = [
             np.array([error.sum()]),
@@ -113,20 +141,20 @@ def fit(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, factors: int = FACTOR
                 w0 -= float(move[0])
             elif k == 1:
                 w -= move
-            else:
+            elif pairs:
                 v -= move
-    return Model(chosen, w0 - middle_cut(forward(of, at, n, w0, w, v)[0], y), w, v)
+    return Model(chosen, *best[2:])
 
 
-def middle_cut(total: np.ndarray, y: np.ndarray) -> float:
-    """The sum that parts the sample's labels with fewest errors, the middle of all such, so that 0.5 becomes the cut."""
+def middle_cut(total: np.ndarray, y: np.ndarray) -> tuple[int, float]:
+    """Fewest errors by which a sum can part these labels, and the middle of all such sums."""
     order = np.argsort(total, kind="stable")
     ranked = total[order]
     errors = np.concatenate([[0], np.cumsum(y[order])]) + np.concatenate([np.cumsum((1 - y[order])[::-1])[::-1], [0]])
     edges = np.concatenate([[ranked[0] - 1], (ranked[1:] + ranked[:-1]) / 2, [ranked[-1] + 1]])
     real = np.concatenate([[True], ranked[1:] > ranked[:-1], [True]])
     best = np.flatnonzero(real & (errors == errors[real].min()))
-    return float((edges[best[0]] + edges[best[-1]]) / 2)
+    return int(errors[best[0]]), float((edges[best[0]] + edges[best[-1]]) / 2)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
@@ -146,8 +174,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                 ends = np.searchsorted(of, np.arange(part.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "toxic": part.column("toxic"), "terms": pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))})
 
-    taught = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `rows` rows
-    rows_of = taught.mapInArrow(to_terms, "doc_id bigint, toxic int, terms array<int>")
+    taught = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # chosen has at most `rows` rows
+    taught = taught.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))  # and so has this, however often ids repeat
+    rows_of = taught.select("doc_id", "text", "toxic").mapInArrow(to_terms, "doc_id bigint, toxic int, terms array<int>")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ys, lists, ids = [], [], []

@@ -149,3 +149,52 @@ def test_a_bounded_sample_is_the_same_by_either_way(spark):
     model = toxicity.train(docs, marks, rows=100)
     alone = toxicity.train(docs, marks.filter(F.col("doc_id").isin(*few)), rows=10_000)
     assert (model.terms == alone.terms).all() and model.w0 == alone.w0 and (model.w == alone.w).all()
+
+
+def paired(n, seed):
+    """A slur and a group's name are toxic only beside their own counterpart: no sum of single weights parts these texts."""
+    rng = random.Random(seed)
+    texts, y = [], []
+    for _ in range(n):
+        words = [f"plain{rng.randrange(300)}" for _ in range(20)]
+        a, b = rng.randrange(2), rng.randrange(2)
+        kind = rng.random()
+        if kind < 0.5:
+            words += [f"slur{a}", f"group{b}"]
+        elif kind < 0.7:
+            words.append(rng.choice([f"slur{a}", f"group{b}"]))
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        y.append(float(kind < 0.5 and a == b))
+    return pa.array(texts), np.array(y)
+
+
+def test_the_pairwise_part_finds_what_single_weights_miss():
+    texts, y = paired(3000, 1)
+    fresh, truth = paired(1000, 2)
+    right = {pairs: np.mean((toxicity.fit(*toxicity.terms(texts), y, pairs=pairs).score(fresh) >= 0.5) == truth) for pairs in (True, False)}
+    assert right[True] > 0.97 and right[False] < 0.9
+
+
+def test_terms_that_matter_only_beside_others_are_kept():
+    rng = random.Random(3)
+    texts, y = [], []
+    for i in range(4000):
+        insult, group = i % 10 == 0, rng.random() < 0.5
+        texts.append(" ".join([*(f"w{rng.randrange(400)}" for _ in range(12)), *["insult"] * insult, *["group"] * group]))
+        y.append(float(insult and group))
+    of, bucket = toxicity.terms(pa.array(texts))
+    seen, place = np.unique(bucket, return_inverse=True)
+    chosen = toxicity.choose(of, bucket, np.array(y), np.ones(len(y), bool))
+    named = {w: toxicity.terms(pa.array([w]))[1][0] for w in ("insult", "group")}
+    assert set(named.values()) <= set(chosen.tolist())
+
+
+def test_repeated_ids_do_not_swell_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    rows, labels = labelled(300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    once, often = toxicity.train(docs, marks), toxicity.train(docs.withColumn("text", F.explode(F.array("text", "text", "text"))), marks)
+    assert (once.terms == often.terms).all() and (once.w == often.w).all() and once.w0 == often.w0
