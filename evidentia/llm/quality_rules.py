@@ -1,8 +1,10 @@
 """Quality rules with host-level verdicts, in DataFrame functions only.
 
 Each text gets its rule figures in one row-local pass (no exploding, no shuffle of text). Rule failures are added up by
-host; each host's failure rate is shrunk towards a beta prior that is fitted to all hosts by moments, and a host whose
-rate lies over HOST_LIMIT by two posterior standard deviations loses its documents. Verdicts are joined back to the
+host, for each rule; each host's failure rates are shrunk towards beta priors that are fitted to all hosts by moments. A
+host whose rate of base failures lies over HOST_LIMIT by two posterior standard deviations loses its documents. A text that
+fails one of the other rules alone may well be good (a table, a refrain), so its host decides: it stays if the host seldom
+fails that rule, its rate and two deviations lying under TRUSTED, and goes otherwise. Verdicts are joined back to the
 figures, which are small, by host; a hot host's rows are pre-aggregated, and its side of the join can be split.
 
 Null texts have no words and fail. Documents of a null host share one host of their own. Repeated rows count each time. An
@@ -25,6 +27,11 @@ MOST_REPEATED = 20
 #: A host's shrunk failure rate above which its documents go, and the posterior deviations it must lie above it.
 HOST_LIMIT = 0.5
 DEVIATIONS = 2.0
+#: A host is trusted with texts that fail a rule other than the base's if its rate of these lies surely under this.
+TRUSTED = 0.02
+#: Most symbols in 100 characters of words, and most words for each repeated line.
+MOST_SYMBOLS = 10
+WORDS_A_LINE = 20
 #: The prior's weight in documents lies between these.
 PRIOR_WEIGHT = (2.0, 1000.0)
 
@@ -89,28 +96,46 @@ def figures(docs: DataFrame, keep: list[str]) -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
+def rules() -> dict[str, Column]:
+    """Whether a text fails each rule, by its figures."""
+    return {
+        "base": F.col("base_failed"),
+        "symbols": 100 * F.col("n_symbols") > MOST_SYMBOLS * F.col("word_chars"),
+        "lines": WORDS_A_LINE * F.col("n_dup_lines") > F.col("n_words"),
+    }
+
+
 def host_verdicts(rated: DataFrame) -> DataFrame:
-    """host, host_docs, host_failed, host_rate (shrunk) and host_kept for each host of rated (host, base_failed)."""
-    hosts = rated.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"), F.sum(F.col("base_failed").cast("bigint")).alias("host_failed"))
-    rate = F.col("host_failed") / F.col("host_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.coalesce(F.var_samp(rate), F.lit(0.0)).alias("v"), F.avg(1 / F.col("host_docs")).alias("u"))
+    """For each host of rated (host, figures): host_docs, and for each rule its shrunk failure rate and that rate's posterior deviation."""
+    failed = {r: F.sum(c.cast("bigint")).alias(f"{r}_failed") for r, c in rules().items()}
+    hosts = rated.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"), *failed.values())
+    rate = {r: F.col(f"{r}_failed") / F.col("host_docs") for r in failed}
+    moments = [x for r, c in rate.items() for x in (F.avg(c).alias(f"{r}_m"), F.coalesce(F.var_samp(c), F.lit(0.0)).alias(f"{r}_v"))]
+    prior = hosts.agg(*moments, F.avg(1 / F.col("host_docs")).alias("u"))
     low, high = PRIOR_WEIGHT
-    between = F.greatest(F.col("v") - F.col("m") * (1 - F.col("m")) * F.col("u"), F.lit(1e-9))
-    prior = prior.select("m", F.least(F.greatest(F.col("m") * (1 - F.col("m")) / between - 1, F.lit(low)), F.lit(high)).alias("k"))
-    shrunk = hosts.join(F.broadcast(prior))  # one row
-    total = F.col("host_docs") + F.col("k")
-    shrunk = shrunk.withColumn("host_rate", (F.col("host_failed") + F.col("m") * F.col("k")) / total)
-    spread = F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (total + 1))
-    return shrunk.select("host", "host_docs", "host_failed", F.round("host_rate", 9).alias("host_rate"), (F.col("host_rate") - DEVIATIONS * spread <= HOST_LIMIT).alias("host_kept"))
+    weights = []
+    for r in failed:
+        m, v = F.col(f"{r}_m"), F.col(f"{r}_v")
+        between = F.greatest(v - m * (1 - m) * F.col("u"), F.lit(1e-9))
+        weights += [m, F.least(F.greatest(m * (1 - m) / between - 1, F.lit(low)), F.lit(high)).alias(f"{r}_k")]
+    out = hosts.join(F.broadcast(prior.select(*weights)))  # one row
+    for r in failed:
+        m, k = F.col(f"{r}_m"), F.col(f"{r}_k")
+        out = out.withColumn(f"{r}_rate", (F.col(f"{r}_failed") + m * k) / (F.col("host_docs") + k))
+        out = out.withColumn(f"{r}_spread", F.sqrt(F.col(f"{r}_rate") * (1 - F.col(f"{r}_rate")) / (F.col("host_docs") + k + 1)))
+    return out.select("host", "host_docs", *(f"{r}_{x}" for r in failed for x in ("rate", "spread")))
 
 
 def query(docs: DataFrame) -> DataFrame:
     """op4: every document's figures and verdict, its host being source."""
     work = Workspace(docs.sparkSession, "quality")
     rated = work.table("figures", figures(docs, ["doc_id", "source"]).withColumnRenamed("source", "host"))
-    verdicts = host_verdicts(rated)
-    joined = rated.join(verdicts.withColumnRenamed("host", "of_host"), F.col("host").eqNullSafe(F.col("of_host")))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.col("host_kept")).alias("kept"), "host_rate")
+    joined = rated.join(host_verdicts(rated).withColumnRenamed("host", "of_host"), F.col("host").eqNullSafe(F.col("of_host")))
+    kept = ~F.col("base_failed") & (F.col("base_rate") - DEVIATIONS * F.col("base_spread") <= HOST_LIMIT)
+    for r, fails in rules().items():
+        if r != "base":
+            kept = kept & (~fails | (F.col(f"{r}_rate") + DEVIATIONS * F.col(f"{r}_spread") <= TRUSTED))
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.round("base_rate", 9).alias("host_rate"))
 
 
 ORACLE = r"""
@@ -125,11 +150,16 @@ f AS (SELECT doc_id, host, len(w)::BIGINT AS n_words, coalesce(list_sum(list_tra
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
       FROM t LEFT JOIN cov USING (r)),
 b AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM f),
-h AS (SELECT host, count(*) AS n, sum(base_failed::BIGINT) AS x FROM b GROUP BY host),
-m AS (SELECT avg(x / n) AS m, coalesce(var_samp(x / n), 0) AS v, avg(1.0 / n) AS u FROM h),
-p AS (SELECT m, least(greatest(m * (1 - m) / greatest(v - m * (1 - m) * u, 1e-9) - 1, 2.0), 1000.0) AS k FROM m),
-s AS (SELECT host, n + k AS total, (x + m * k) / (n + k) AS rate FROM h, p)
+c AS (SELECT *, 100 * n_symbols > 10 * word_chars AS sym, 20 * n_dup_lines > n_words AS rep FROM b),
+h AS (SELECT host, count(*) AS n, sum(base_failed::BIGINT) AS x, sum(sym::BIGINT) AS y, sum(rep::BIGINT) AS z FROM c GROUP BY host),
+r AS (SELECT host, n, unnest(['x', 'y', 'z']) AS rule, unnest([x, y, z]) AS failed FROM h),
+m AS (SELECT rule, avg(failed / n) AS m, coalesce(var_samp(failed / n), 0) AS v, avg(1.0 / n) AS u FROM r GROUP BY rule),
+p AS (SELECT rule, m, least(greatest(m * (1 - m) / greatest(v - m * (1 - m) * u, 1e-9) - 1, 2.0), 1000.0) AS k FROM m),
+s AS (SELECT host, rule, n + k AS total, (failed + m * k) / (n + k) AS rate FROM r JOIN p USING (rule)),
+w AS (SELECT host, rule, rate, 2.0 * sqrt(rate * (1 - rate) / (total + 1)) AS off FROM s),
+q AS (SELECT host, max(rate) FILTER (WHERE rule = 'x') AS base_rate, bool_or(rate - off <= 0.5) FILTER (WHERE rule = 'x') AS ok,
+             bool_or(rate + off <= 0.02) FILTER (WHERE rule = 'y') AS sym_ok, bool_or(rate + off <= 0.02) FILTER (WHERE rule = 'z') AS rep_ok FROM w GROUP BY host)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       (NOT base_failed AND rate - 2.0 * sqrt(rate * (1 - rate) / (total + 1)) <= 0.5) AS kept, round(rate, 9) AS host_rate
-FROM b JOIN s ON b.host IS NOT DISTINCT FROM s.host
+       (NOT base_failed AND ok AND (NOT sym OR sym_ok) AND (NOT rep OR rep_ok)) AS kept, round(base_rate, 9) AS host_rate
+FROM c JOIN q ON c.host IS NOT DISTINCT FROM q.host
 """

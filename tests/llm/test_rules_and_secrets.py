@@ -56,6 +56,28 @@ def test_hosts_are_judged_and_joined_back(spark):
     assert not kept[300] and kept[100] and kept[301] and not kept[0]
 
 
+def test_a_texts_other_failures_are_judged_by_its_host(spark):
+    good = "these are ten quite different words in one plain text line"
+    noisy = good + " ### $$$ %%% &&& ||| <<<"
+    data = [(i, f"{good} {i}", "en", "calm", 1) for i in range(400)] + [(1000 + i, (noisy if i % 3 else good) + f" {i}", "en", "loud", 1) for i in range(400)]
+    data += [(2000, noisy, "en", "calm", 1), (2001, noisy, "en", "loud", 1)]
+    got = {r.doc_id: r for r in quality_rules.query(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert not got[2000].base_failed and not got[2001].base_failed
+    assert got[2000].kept and not got[2001].kept and got[1000].kept and got[0].kept
+
+
+def test_hosts_decide_on_the_given_tables(spark):
+    import duckdb
+
+    folder = "/root/testdata/sf0.01"
+    got = quality_rules.query(spark.read.parquet(f"{folder}/documents.parquet")).collect()
+    assert any(not r.base_failed and not r.kept for r in got)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    want = con.sql(f"SELECT doc_id, kept, host_rate FROM ({quality_rules.ORACLE})").fetchall()
+    assert sorted((r.doc_id, r.kept, r.host_rate) for r in got) == sorted(want)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert quality_rules.query(empty).count() == 0
