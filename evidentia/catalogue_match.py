@@ -107,7 +107,7 @@ n AS (SELECT a, b, d / greatest(length(a), length(b)) AS d FROM dist), r AS (SEL
 m AS (SELECT a, b FROM r WHERE rn = 1 AND d <= 0.30 AND (d = 0 OR nx - d >= 0.08)) SELECT case_id, cand_ord, raw, m.b AS world FROM g LEFT JOIN m ON m.a = trim(raw)""")
 def vocab_match_margin(spark, sf_dir):
     """The nearest world of garbled values, with a cap and a margin; no second look with fused letters."""
-    plain_match = M.text_udf(lambda x: M.match(x, dims.WORLDS, 0.30, fused=False))
+    plain_match = M.text_udf(lambda x: M.nearest(x, dims.WORLDS, 0.30, fused=False))
     return M.of_distinct(garbled(spark, sf_dir, "home_world"), "raw", "world", plain_match(F.col("raw"))).select("case_id", "cand_ord", "raw", "world")
 
 
@@ -125,7 +125,7 @@ def field_correction(spark, sf_dir):
     out = garbled(spark, sf_dir).withColumn("bare", T.strip_captions(F.col("raw")))
     distinct = out.select("fld", "bare").distinct()
     own = {f: M.match_column(F.col("bare"), f) for f in ("species_code", "home_world", "visa_class", "declared_purpose")}
-    own |= {"sponsor_id": T.repair_sponsor_id(F.col("bare")), "arrival_date": T.repair_date(F.col("bare")), "applicant_name": M.text_udf(M.name)(F.col("bare"))}
+    own |= {"sponsor_id": T.repair_sponsor_id(F.col("bare")), "arrival_date": T.repair_date(F.col("bare")), "applicant_name": M.text_udf(M.names)(F.col("bare"))}
     parts = [distinct.filter(F.col("fld") == f).select("fld", "bare", c.alias("corrected")) for f, c in own.items()]
     fixed = parts[0]
     for p in parts[1:]:
@@ -135,12 +135,12 @@ def field_correction(spark, sf_dir):
 
 @query()
 def name_correct(spark, sf_dir):
-    return M.of_distinct(garbled(spark, sf_dir, "applicant_name"), "raw", "name", M.text_udf(M.name)(F.col("raw"))).select("case_id", "cand_ord", "raw", "name")
+    return M.of_distinct(garbled(spark, sf_dir, "applicant_name"), "raw", "name", M.text_udf(M.names)(F.col("raw"))).select("case_id", "cand_ord", "raw", "name")
 
 
 @query()
 def name_joint_decode(spark, sf_dir):
-    return M.of_distinct(garbled(spark, sf_dir, "applicant_name"), "raw", "name", M.text_udf(M.joint_name)(F.col("raw"))).select("case_id", "cand_ord", "raw", "name")
+    return M.of_distinct(garbled(spark, sf_dir, "applicant_name"), "raw", "name", M.text_udf(M.joint_names)(F.col("raw"))).select("case_id", "cand_ord", "raw", "name")
 
 
 _LABELLED = f"""SELECT case_id, cand_ord, fld, concat(CASE fld {' '.join(f"WHEN '{f}' THEN '{next(x for x, y in dims.ANCHORS if y == f)}'" for f in carriers.VALUES)} END, CASE WHEN cand_ord % 6 = 0 THEN ' ' WHEN cand_ord % 9 = 1 THEN ':' ELSE ': ' END, value) AS text0 FROM ({carriers.CANDIDATES}) WHERE value IS NOT NULL"""
@@ -170,7 +170,7 @@ FROM (SELECT o_orderkey, {carriers._pick('o_custkey % 8', dims.FLAGS)} AS f1, {c
 def flags_parse(spark, sf_dir):
     """Flags of "Observed flags" values, also cut short ones."""
     lines = read(spark, sf_dir, _FLAG_TEXT)
-    parsed = M.text_udf(lambda x: "|".join(M.flags(x, True)[0]) if M.flags(x, True)[1] else None)(F.col("raw"))
+    parsed = M.text_udf(lambda x: ["|".join(found) if ok else None for found, ok in M.flag_reads(x, True)])(F.col("raw"))
     return M.of_distinct(lines, "raw", "flags", parsed)
 
 
@@ -178,14 +178,14 @@ def flags_parse(spark, sf_dir):
 def partial_ratio_phrase(spark, sf_dir):
     """Labels of garbled "FINDING: LABEL" lines, and abstentions."""
     raw = "SELECT event_id, CASE event_id % 6 WHEN 0 THEN '| F1ND1NG: DEN1ED.' WHEN 1 THEN 'FINDNG: APPROVFD x' WHEN 2 THEN '| FINDING: NEEDS 7. | |' WHEN 3 THEN 'Finding: NEEDS_REVIEW' WHEN 4 THEN 'DENIED' ELSE event_type END AS text FROM {events}"
-    return M.of_distinct(read(spark, sf_dir, raw), "text", "label", M.text_udf(M.phrase)(F.col("text")))
+    return M.of_distinct(read(spark, sf_dir, raw), "text", "label", M.text_udf(M.phrases)(F.col("text")))
 
 
 @query()
 def reason_templates(spark, sf_dir):
     """Reason sentences that are near copies of one template, and the label that it alone may give."""
     raw = f"SELECT event_id, translate({carriers._pick('event_id % 13', dims.REASONS)}, CASE WHEN event_id % 3 = 0 THEN 'eo' ELSE '' END, CASE WHEN event_id % 3 = 0 THEN 'c0' ELSE '' END) AS text FROM {{events}}"
-    found = M.of_distinct(read(spark, sf_dir, raw), "text", "template", M.text_udf(M.reason)(F.col("text")))
+    found = M.of_distinct(read(spark, sf_dir, raw), "text", "template", M.text_udf(M.reasons)(F.col("text")))
     label = F.element_at(F.create_map(*(F.lit(x) for kv in dims.REASON_LABELS.items() for x in kv)), F.col("template"))
     return found.withColumn("label", label)
 

@@ -10,12 +10,7 @@ from pyspark.sql import functions as F
 from evidentia import dims
 from evidentia.functions.fuzzy import distance
 
-_SPONSOR = r"SPN\s*[-–—._:]?\s*([0-9]{4})(?![0-9])"
-_LOOSE = r"(?<![A-Za-z0-9])[SP]{0,2}N\s*[-–—]\s*([0-9]{4})(?![0-9])"
-_CASE = r"MIB\s*[-–—._:]?\s*([0-9]{6})(?![0-9])"
-_DATE = r"(20[0-9]{2})\s*[-–—._/]\s*([0-9]{2})\s*[-–—._/]\s*([0-9]{2})"
-_CAPTIONS = "SCAN IMAGE|PASSPORT IMAGE|REGISTRY IMAGE|MIB EYES ONLY|COPY ARTIFACT|CASEWORK|COPY|FILED|ARCHIVE|MIB INTAKE"
-FOOTER = r"Packet\s+(MIB-[0-9]{6})\s*/\s*page"
+FOOTER = dims.FOOTER
 
 
 def repair_digits(text: Column) -> Column:
@@ -37,12 +32,12 @@ def _found(text: Column, pattern: str, group: int = 1) -> Column:
 
 def repair_sponsor_id(raw: Column, loose: bool = False) -> Column:
     text = F.trim(raw)
-    options = [_found(text, _SPONSOR), _found(_after_prefix(text, "SPN"), _SPONSOR), *([_found(text, _LOOSE)] if loose else [])]
+    options = [_found(text, dims.SPONSOR), _found(_after_prefix(text, "SPN"), dims.SPONSOR), *([_found(text, dims.SPONSOR_LOOSE)] if loose else [])]
     return F.concat(F.lit("SPN-"), F.coalesce(*options))
 
 
 def repair_case_id(raw: Column) -> Column:
-    return F.concat(F.lit("MIB-"), F.coalesce(_found(raw, _CASE), _found(_after_prefix(raw, "MIB"), _CASE)))
+    return F.concat(F.lit("MIB-"), F.coalesce(_found(raw, dims.CASE), _found(_after_prefix(raw, "MIB"), dims.CASE)))
 
 
 def year_repairs() -> dict[str, str]:
@@ -60,17 +55,16 @@ def year_repairs() -> dict[str, str]:
 def repair_date(raw: Column) -> Column:
     """An ISO day of 2025 or 2026, null if none can be read."""
     text = F.trim(raw)
-    text = F.when(text.rlike(_DATE), text).otherwise(repair_digits(text))
+    text = F.when(text.rlike(dims.DATE), text).otherwise(repair_digits(text))
     years = reduce(lambda m, kv: m + [F.lit(kv[0]), F.lit(kv[1])], year_repairs().items(), [])
-    year = F.element_at(F.create_map(*years), F.regexp_extract(text, _DATE, 1))
-    day = F.concat_ws("-", year, F.regexp_extract(text, _DATE, 2), F.regexp_extract(text, _DATE, 3))
+    year = F.element_at(F.create_map(*years), F.regexp_extract(text, dims.DATE, 1))
+    day = F.concat_ws("-", year, F.regexp_extract(text, dims.DATE, 2), F.regexp_extract(text, dims.DATE, 3))
     return F.when(year.isNotNull(), F.date_format(day.try_cast("date"), "yyyy-MM-dd"))
 
 
 def strip_captions(raw: Column) -> Column:
     """Without the captions that pages print behind values, however many."""
-    one = rf"(?:\s*[|\[\](){{}}~™—–-]*\s*(?:{_CAPTIONS})\s*[|\[\](){{}}~™.—–-]*\s*)+$"
-    return F.trim(F.regexp_replace(F.trim(raw), one, ""))
+    return F.trim(F.regexp_replace(F.trim(raw), dims.CAPTION_RUN, ""))
 
 
 def strip_footer(text: Column) -> Column:

@@ -129,13 +129,13 @@ def type_by_labels(labels: DataFrame) -> DataFrame:
 def header_types(lines: DataFrame) -> DataFrame:
     """case_id, page_index, doc_type, tier_x10 by the nearest header of a page's first lines; null and 50 without one."""
     top = lines.filter(F.col("line_ord") < dims.HEADER_LINES).groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("line_ord", "text"))), lambda x: x["text"]).alias("lines"))
-    call = F.pandas_udf(lambda s: pd.DataFrame([M.header(list(x)) for x in s], columns=["doc_type", "tier_x10"]), "doc_type string, tier_x10 int")
+    call = F.pandas_udf(lambda s: M.headers([list(x) for x in s]), "doc_type string, tier_x10 int")
     return top.select(*PAGE, call("lines").alias("h")).select(*PAGE, "h.doc_type", "h.tier_x10")
 
 
 def anchored(lines: DataFrame) -> DataFrame:
     """lines with fld, label, value of those that begin with a label, matched once for each distinct text."""
-    call = F.pandas_udf(lambda s: pd.DataFrame([M.anchor(x) or (None, None, None) for x in s], columns=["fld", "label", "value"], dtype="object"), "fld string, label string, value string")
+    call = F.pandas_udf(lambda s: M.labels(s.tolist()), "fld string, label string, value string")
     return M.of_distinct(lines, "text", "a", call("text")).select("*", "a.fld", "a.label", "a.value").drop("a")
 
 

@@ -27,54 +27,88 @@ def test_fused_letters_cost_less_and_never_more():
         assert fuzzy.distance(a, a) == 0
 
 
-def plain_distance(a, b):
+def indel(c):
+    return 0.35 if c in dims.CHEAP_INDEL else 1.0
+
+
+def substitution(x, y, fused):
+    if x.lower() == y.lower():
+        return 0.0
+    near = any(x.lower() in g.lower() and y.lower() in g.lower() for g in dims.CONFUSIONS)
+    alike = fused and any({x.lower(), y.lower()} == set(p) for p in dims.FUSION_SINGLES)
+    return 0.2 if near else 0.4 if alike else 1.0
+
+
+def plain_distance(a, b, fused=False):
     """By exhaustive recursion over edits."""
-    if not a or not b:
-        return float(len(b)) if not a else sum(fuzzy._indel(c) for c in a)
-    return min(plain_distance(a[:-1], b) + fuzzy._indel(a[-1]), plain_distance(a, b[:-1]) + fuzzy._indel(b[-1]), plain_distance(a[:-1], b[:-1]) + fuzzy._substitution(a[-1], b[-1], False))
+    if not a:
+        return sum(indel(c) if fused else 1.0 for c in b)
+    ways = [plain_distance(a[:-1], b, fused) + indel(a[-1])]
+    if b:
+        ways += [plain_distance(a, b[:-1], fused) + indel(b[-1]), plain_distance(a[:-1], b[:-1], fused) + substitution(a[-1], b[-1], fused)]
+    for s, t in [p for x, y in dims.FUSIONS for p in ((x, y), (y, x))] if fused else ():
+        if a.lower().endswith(s) and b.lower().endswith(t):
+            ways.append(plain_distance(a[: -len(s)], b[: -len(t)], fused) + 0.4)
+    return min(ways)
 
 
 def test_distance_equals_exhaustive_search():
-    for a, b in itertools.product(["", "a", "O0", "rn.", "1l|", "S-5"], repeat=2):
-        assert fuzzy.distance(a, b) == pytest.approx(plain_distance(a, b) if a != b else 0)
+    words = ["", "a", "O0", "rn.", "1l|", "S-5", "clm", "mrn", "VVnn", "É漢w"]
+    for fused in (False, True):
+        a, b = zip(*itertools.product(words, repeat=2), strict=True)
+        want = [plain_distance(x, y, fused) if x != y else 0 for x, y in zip(a, b, strict=True)]
+        assert fuzzy.distances(list(a), list(b), fused).tolist() == pytest.approx(want)
 
 
 def test_vocabulary_needs_nearness_and_a_margin():
-    assert M.match("Barnard-c", dims.WORLDS, 0.3) == "Barnard-c"
-    assert M.match("Eris Re1ay", dims.WORLDS, 0.3) == "Eris Relay"
-    assert M.match("XW-", dims.VISAS, 0.3) is None  # XW-1 and XW-2 are as near
-    assert M.match("  ", dims.VISAS, 0.3) is None
-    assert M.match("cliplornatic", dims.PURPOSES, 0.05) is None
+    assert M.nearest(["Barnard-c"], dims.WORLDS, 0.3)[0] == "Barnard-c"
+    assert M.nearest(["Eris Re1ay"], dims.WORLDS, 0.3)[0] == "Eris Relay"
+    assert M.nearest(["XW-"], dims.VISAS, 0.3)[0] is None  # XW-1 and XW-2 are as near
+    assert M.nearest(["  "], dims.VISAS, 0.3)[0] is None
+    assert M.nearest(["cliplornatic"], dims.PURPOSES, 0.05)[0] is None
+
+
+def anchor(text):
+    (row,) = M.labels([text]).itertuples(index=False)
+    return tuple(row) if row.label else None
+
+
+def test_batches_equal_single_texts():
+    texts = ["Sponsor ID: SPN-1234", "", "| F1ND1NG: DEN1ED.", "Mandatory fee unpa1d.", "| FINDING: NEEDS 7. | |", "Aririx Ixozrn", "rescin", "none.", "FINDING: APPROVED", "Visa Class", "é 漢", "memory_tampering/active_warrant"]
+    for f in (M.names, M.joint_names, M.phrases, M.reasons, M.flag_reads, M.cut_flags, lambda x: M.flag_reads(x, True), lambda x: M.nearest(x, dims.LABELS, 0.3), lambda x: [tuple(r) for r in M.labels(x).itertuples(index=False)]):
+        assert f(texts) == [f([t])[0] for t in texts] and f([]) == []
+    pages = [texts, [], ["| MIB Fee Receipt"], ["nothing to see here"], ["Planetary Reg1stry Extract MIB-000001"]]
+    assert M.headers(pages).values.tolist() == [[None, 50], [None, 50], ["fee_receipt", 25], [None, 50], ["registry", 50]]
 
 
 def test_anchors_take_the_first_near_label_then_try_without_spaces():
-    assert M.anchor("Sponsor ID: SPN-1234") == ("sponsor_id", "Sponsor ID", "SPN-1234")
-    assert M.anchor("| | H0me Wor1d Titan Freeport") == ("home_world", "Home World", "Titan Freeport")
-    assert M.anchor("SponsorID:SPN-8468") == ("sponsor_id", "Sponsor ID", "SPN-8468")
-    assert M.anchor("completely different words here") is None and M.anchor("") is None and M.anchor("|") is None
+    assert anchor("Sponsor ID: SPN-1234") == ("sponsor_id", "Sponsor ID", "SPN-1234")
+    assert anchor("| | H0me Wor1d Titan Freeport") == ("home_world", "Home World", "Titan Freeport")
+    assert anchor("SponsorID:SPN-8468") == ("sponsor_id", "Sponsor ID", "SPN-8468")
+    assert anchor("completely different words here") is None and anchor("") is None and anchor("|") is None
 
 
 def test_flags():
-    assert M.flags("none.") == ([], True) and M.flags("n0ne") == ([], True) and M.flags("") == ([], False)
-    assert M.flags("memory_tampering, sponsor mismatch") == (["memory_tampering", "sponsor_mismatch"], True)
-    assert M.flags("rescin", True) == (["rescinded_denial"], True) and M.flags("resc", True)[0] == ["rescinded_denial"]
-    assert M.flags("resc") == ([], False)
+    assert M.flag_reads(["none."])[0] == ([], True) and M.flag_reads(["n0ne"])[0] == ([], True) and M.flag_reads([""])[0] == ([], False)
+    assert M.flag_reads(["memory_tampering, sponsor mismatch"])[0] == (["memory_tampering", "sponsor_mismatch"], True)
+    assert M.flag_reads(["rescin"], True)[0] == (["rescinded_denial"], True) and M.flag_reads(["resc"], True)[0][0] == ["rescinded_denial"]
+    assert M.flag_reads(["resc"])[0] == ([], False)
 
 
 def test_names():
-    assert M.name("Aririx lxozarn PASSPORT IMAGE") == "Aririx Ixozarn"
-    assert M.name("[NAME CUT OUT]") is None
-    assert M.joint_name("Aririx Ixozrn") == "Aririx Ixozarn"
-    assert M.joint_name("Aririx lozan") is None  # Luzarn is as near
-    assert M.joint_name("one") is None
+    assert M.names(["Aririx lxozarn PASSPORT IMAGE"])[0] == "Aririx Ixozarn"
+    assert M.names(["[NAME CUT OUT]"])[0] is None
+    assert M.joint_names(["Aririx Ixozrn"])[0] == "Aririx Ixozarn"
+    assert M.joint_names(["Aririx lozan"])[0] is None  # Luzarn is as near
+    assert M.joint_names(["one"])[0] is None
 
 
 def test_phrases_and_truncation():
-    assert M.phrase("| F1ND1NG: DEN1ED.") == "DENIED"
-    assert M.phrase("| FINDING: NEEDS 7. | |") is None
-    assert M.phrase("DENIED") is None
-    assert M.reason("Mandatory fee unpa1d.") == "Mandatory fee unpaid."
-    assert M.reason("Mandatory fee") is None
+    assert M.phrases(["| F1ND1NG: DEN1ED."])[0] == "DENIED"
+    assert M.phrases(["| FINDING: NEEDS 7. | |"])[0] is None
+    assert M.phrases(["DENIED"])[0] is None
+    assert M.reasons(["Mandatory fee unpa1d."])[0] == "Mandatory fee unpaid."
+    assert M.reasons(["Mandatory fee"])[0] is None
 
 
 def test_partial_ratio_bound_is_a_bound():
