@@ -21,8 +21,19 @@ VALUES = {
 _FIELD_BY_PART = ("applicant_name", "species_code", "home_world", "visa_class", "sponsor_id", "arrival_date", "declared_purpose", "fee_status")
 
 
+def padded(key: str, digits: int) -> str:
+    """A whole number as text of at least so many digits; longer ones stay whole."""
+    text = f"cast({key} AS VARCHAR(20))"
+    return f"concat(repeat('0', cast(greatest(0, {digits} - length({text})) AS INT)), {text})"
+
+
+def mib(key: str) -> str:
+    return f"concat('MIB-', {padded(key, 6)})"
+
+
 def case_of(key: str) -> str:
-    return f"concat('MIB-', lpad(cast({key} - {key} % 8 AS VARCHAR(12)), 6, '0'))"
+    """The packet of a key."""
+    return mib(f"({key} - {key} % 8)")
 
 
 def _pick(column: str, values) -> str:
@@ -53,14 +64,14 @@ FLAG_CANDIDATES = f"""SELECT {case_of('o_orderkey')} AS case_id, o_orderkey AS f
   CASE WHEN o_orderkey % 9 < 6 THEN '' WHEN o_orderkey % 9 < 8 THEN {_pick('o_custkey % 8', dims.FLAGS)}
        ELSE concat({_pick('o_custkey % 8', dims.FLAGS)}, ',', {_pick('(o_custkey + 3) % 8', dims.FLAGS)}) END AS flags_text,
   o_custkey % 7 < 6 AS parsed_ok, CASE WHEN o_orderstatus = 'P' THEN 'digital' ELSE 'ocr' END AS source,
-  30 + 5 * (o_custkey % 14) AS conf_bp FROM {{orders}} WHERE o_orderkey % 4 = 0"""
+  30 + 5 * (o_custkey % 14) AS conf_bp FROM {{orders}}"""
 
 FINDINGS = f"""SELECT {case_of('event_id')} AS case_id, event_id AS find_ord,
   CASE WHEN event_id % 3 = 0 THEN {_pick('event_id % 7', dims.REASON_LABELS.values())}
        WHEN event_type = 'click' THEN 'APPROVED' WHEN event_type = 'error' THEN 'DENIED' ELSE 'NEEDS_REVIEW' END AS label,
   event_id % 3 = 0 AS template_only, CASE WHEN event_id % 3 = 0 THEN {_pick('event_id % 7', dims.REASON_LABELS)} END AS template,
   CASE WHEN event_id % 2 = 0 THEN 'digital' ELSE 'ocr' END AS source, 30 + 5 * (user_id % 14) AS conf_bp
-FROM {{events}} WHERE user_id % 5 = 0 AND event_type IN ('click', 'error', 'view')"""
+FROM {{events}} WHERE event_type IN ('click', 'error', 'view')"""
 
 CASES = f"SELECT DISTINCT {case_of('o_orderkey')} AS case_id FROM {{orders}}"
 

@@ -177,7 +177,7 @@ def restore_guard(spark, sf_dir):
 @query(sql("SELECT " + _ROW + " FROM row WHERE cast(substr(case_id, 5) AS BIGINT) % 56 <> 0 UNION ALL SELECT case_id, " + ", ".join(f"'{v}'" for v in dims.DEFAULTS.values()) + ", 'none', 'NEEDS_REVIEW', 0.35 FROM cases WHERE cast(substr(case_id, 5) AS BIGINT) % 56 = 0"))
 def error_fallback(spark, sf_dir):
     """Packets whose processing failed (here every seventh) get the fallback row."""
-    rows = P.build_row(decided(spark, sf_dir)).filter(F.substring("case_id", 5, 6).cast("long") % 56 != 0)
+    rows = P.build_row(decided(spark, sf_dir)).filter(F.expr("substr(case_id, 5)").cast("long") % 56 != 0)
     return P.fallback_rows(carrier(spark, sf_dir, "cases"), rows)
 
 

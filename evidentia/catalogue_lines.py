@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidentia import carriers, dims
-from evidentia.carriers import case_of, plain, read
+from evidentia.carriers import case_of, mib, padded, plain, read
 from evidentia.catalogue import query
 from evidentia.operators import pages as G
 
@@ -15,14 +15,14 @@ DOC_LINES = f"""SELECT {case_of('doc_id')} AS case_id, doc_id AS page_index, pos
 _DL = f"""SELECT {case_of('doc_id')} AS case_id, doc_id AS page_index, pos - 1 AS line_ord, parts[pos] AS text, CASE WHEN doc_id % 3 = 0 THEN 'ocr' ELSE 'digital' END AS source,
   40 + (doc_id * 7 + (pos - 1) * 13) % 60 AS conf_bp FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL))"""
 FOOTERS = f"""SELECT {case_of('doc_id')} AS case_id, doc_id AS page_index,
-  concat('Packet MIB-', lpad(cast(CASE WHEN doc_id % 11 = 0 THEN doc_id + 999 ELSE doc_id - doc_id % 8 END AS VARCHAR(12)), 6, '0'), ' / page 1') AS text FROM {{documents}}"""
+  concat('Packet ', {mib('CASE WHEN doc_id % 11 = 0 THEN doc_id + 999 ELSE doc_id - doc_id % 8 END')}, ' / page 1') AS text FROM {{documents}}"""
 
 
 def doc_lines(spark, sf_dir):
     return read(spark, sf_dir, DOC_LINES)
 
 
-@query(f"WITH l AS ({_DL}), f AS ({plain(FOOTERS)}) SELECT l.case_id, l.page_index, count(*) AS n FROM l JOIN f USING (case_id, page_index) WHERE substr(f.text, 8, 10) = l.case_id GROUP BY 1, 2")
+@query(f"WITH l AS ({_DL}), f AS ({plain(FOOTERS)}) SELECT l.case_id, l.page_index, count(*) AS n FROM l JOIN f USING (case_id, page_index) WHERE regexp_extract(f.text, 'MIB-[0-9]+') = l.case_id GROUP BY 1, 2")
 def foreign_page_drop(spark, sf_dir):
     kept = G.drop_foreign(doc_lines(spark, sf_dir), read(spark, sf_dir, FOOTERS))
     return kept.groupBy("case_id", "page_index").agg(F.count(F.lit(1)).alias("n"))
@@ -47,9 +47,9 @@ def line_dedup_pool(spark, sf_dir):
 
 @query(f"""WITH l AS ({_DL}), s AS (SELECT *, line_ord % 3 = 1 AS skip, line_ord % 4 = 0 AS is_finding FROM l),
 w AS (SELECT *, lead(text, 1) OVER o AS t1, lead(skip, 1) OVER o AS s1, lead(text, 2) OVER o AS t2, lead(skip, 2) OVER o AS s2 FROM s WINDOW o AS (PARTITION BY case_id, page_index ORDER BY line_ord))
-SELECT case_id, page_index, line_ord, concat_ws(' ', substr(text, 1, 20), CASE WHEN NOT s1 THEN t1 END, CASE WHEN NOT s2 THEN t2 END) AS reason FROM w WHERE is_finding""")
+SELECT case_id, page_index, line_ord, concat_ws(' ', text, CASE WHEN NOT s1 THEN t1 END, CASE WHEN NOT s2 THEN t2 END) AS reason FROM w WHERE is_finding""")
 def reason_continuation(spark, sf_dir):
-    lines = doc_lines(spark, sf_dir).withColumns({"skip": F.col("line_ord") % 3 == 1, "is_finding": F.col("line_ord") % 4 == 0, "tail": F.substring("text", 1, 20)})
+    lines = doc_lines(spark, sf_dir).withColumns({"skip": F.col("line_ord") % 3 == 1, "is_finding": F.col("line_ord") % 4 == 0, "tail": F.col("text")})
     return G.continued_reasons(lines)
 
 
@@ -151,13 +151,13 @@ def digit_majority_vote(spark, sf_dir):
     return G.digit_vote(read(spark, sf_dir, _READS).withColumnRenamed("grp", "group"))
 
 
-_LETTER = f"""SELECT {case_of('c_custkey')} AS case_id, c_custkey AS page_index, k AS line_ord, CASE k WHEN 0 THEN concat('Sponsor SPN-', lpad(cast(c_custkey AS VARCHAR(8)), 4, '0'), ' attests that') WHEN 1 THEN concat('{carriers.VALUES['applicant_name'][0]}', ' is expected')
+_LETTER = f"""SELECT {case_of('c_custkey')} AS case_id, c_custkey AS page_index, k AS line_ord, CASE k WHEN 0 THEN concat('Sponsor SPN-', {padded('c_custkey % 10000', 4)}, ' attests that') WHEN 1 THEN concat('{carriers.VALUES['applicant_name'][0]}', ' is expected')
   ELSE 'on Earth for archive audit. Held to class MED-3 compliance' END AS text, 90 + k AS conf_bp, CASE WHEN c_custkey % 2 = 0 THEN 'digital' ELSE 'ocr' END AS source"""
 
 
-@query(f"""SELECT {case_of('c_custkey')} AS case_id, c_custkey AS page_index, fld, CASE fld WHEN 'sponsor_id' THEN 'SPN-' || lpad(c_custkey::VARCHAR, 4, '0') WHEN 'applicant_name' THEN 'Aririx Ixozarn' WHEN 'visa_class' THEN 'MED-3' ELSE 'archive audit' END AS raw, 90 AS conf_bp,
-  CASE WHEN c_custkey % 2 = 0 THEN 'digital' ELSE 'ocr' END AS source FROM customer, (VALUES ('sponsor_id'), ('applicant_name'), ('visa_class'), ('declared_purpose')) f(fld) WHERE c_custkey < 10000""")
+@query(f"""SELECT {case_of('c_custkey')} AS case_id, c_custkey AS page_index, fld, CASE fld WHEN 'sponsor_id' THEN 'SPN-' || {padded('c_custkey % 10000', 4)} WHEN 'applicant_name' THEN 'Aririx Ixozarn' WHEN 'visa_class' THEN 'MED-3' ELSE 'archive audit' END AS raw, 90 AS conf_bp,
+  CASE WHEN c_custkey % 2 = 0 THEN 'digital' ELSE 'ocr' END AS source FROM customer, (VALUES ('sponsor_id'), ('applicant_name'), ('visa_class'), ('declared_purpose')) f(fld)""")
 def prose_attestation(spark, sf_dir):
     """Values of attestation letters written as prose over three lines."""
-    letters = read(spark, sf_dir, f"{_LETTER} FROM {{customer}} LATERAL VIEW explode(array(0, 1, 2)) x AS k WHERE c_custkey < 10000")
+    letters = read(spark, sf_dir, f"{_LETTER} FROM {{customer}} LATERAL VIEW explode(array(0, 1, 2)) x AS k")
     return G.prose_values(letters)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidentia import carriers, dims
-from evidentia.carriers import plain, read
+from evidentia.carriers import mib, padded, plain, read
 from evidentia.catalogue import query
 from evidentia.functions import fuzzy
 from evidentia.functions import match as M
@@ -34,7 +34,7 @@ def sponsor_repair(spark, sf_dir):
     return garbled(spark, sf_dir, "sponsor_id").select("case_id", "cand_ord", "raw", T.repair_sponsor_id(F.col("raw")).alias("repaired"))
 
 
-_CASE_RAW = "SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN concat('MIB-', lpad(cast(o_orderkey AS VARCHAR(9)), 6, '0')) WHEN 1 THEN concat('mib MIB ', translate(lpad(cast(o_orderkey AS VARCHAR(9)), 6, '0'), '01', 'OI')) WHEN 2 THEN concat('MIB:', cast(o_orderkey AS VARCHAR(9))) WHEN 3 THEN concat('Packet MIB', lpad(cast(o_orderkey AS VARCHAR(9)), 6, '0'), ' x') ELSE concat('M1B-', lpad(cast(o_orderkey AS VARCHAR(9)), 6, '0')) END AS raw FROM {orders}"
+_CASE_RAW = "SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN " + mib("o_orderkey") + " WHEN 1 THEN concat('mib MIB ', translate(" + padded("o_orderkey", 6) + ", '01', 'OI')) WHEN 2 THEN concat('MIB:', cast(o_orderkey AS VARCHAR(9))) WHEN 3 THEN concat('Packet MIB', " + padded("o_orderkey", 6) + ", ' x') ELSE concat('M1B-', " + padded("o_orderkey", 6) + ") END AS raw FROM {orders}"
 
 
 @query(f"""WITH m AS (SELECT *, regexp_extract(raw, 'MIB\\s*[-–—._:]?\\s*([0-9]{{6}})([^0-9]|$)', 1) AS a, regexp_extract({_after('raw', 'MIB')}, 'MIB\\s*[-–—._:]?\\s*([0-9]{{6}})([^0-9]|$)', 1) AS b FROM ({plain(_CASE_RAW)}))
@@ -60,11 +60,11 @@ def caption_strip(spark, sf_dir):
 
 
 @query(r"""SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(t, '\s+'), lambda w: NOT (lower(w) IN ('packet', 'page', 'synthetic', 'hiring', 'challenge', 'document', '/', '') OR regexp_matches(w, '(?i)^mib[-.:]?[0-9]{6}$'))), ' ') AS bare
-FROM (SELECT doc_id, concat(substr(text, 1, 60), ' Packet MIB-000', 100 + doc_id % 900, ' / page 2 MIB-000001 synthetic x') AS t0, regexp_replace(concat(substr(text, 1, 60), ' Packet MIB-000', 100 + doc_id % 900, ' / page 2 MIB-000001 synthetic x'), '(?i)packet\s+mib[-\s.:]*[0-9]{6}\s*/?\s*page(\s+[0-9]+(\s+of\s+[0-9]+)?)?|synthetic\s+hiring\s+challenge\s+document', ' ', 'g') AS t FROM documents)""")
+FROM (SELECT doc_id, concat(text, ' Packet MIB-000', 100 + doc_id % 900, ' / page 2 MIB-000001 synthetic x') AS t0, regexp_replace(concat(text, ' Packet MIB-000', 100 + doc_id % 900, ' / page 2 MIB-000001 synthetic x'), '(?i)packet\s+mib[-\s.:]*[0-9]{6}\s*/?\s*page(\s+[0-9]+(\s+of\s+[0-9]+)?)?|synthetic\s+hiring\s+challenge\s+document', ' ', 'g') AS t FROM documents)""")
 def footer_strip(spark, sf_dir):
-    """The page footer taken off the head of each document, to which one is added."""
+    """The page footer taken off each whole document, to which one is added."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    text = F.concat(F.coalesce(F.substring("text", 1, 60), F.lit("")), F.lit(" Packet MIB-000"), (100 + F.col("doc_id") % 900).cast("string"), F.lit(" / page 2 MIB-000001 synthetic x"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" Packet MIB-000"), (100 + F.col("doc_id") % 900).cast("string"), F.lit(" / page 2 MIB-000001 synthetic x"))
     return docs.select("doc_id", T.strip_footer(text).alias("bare"))
 
 
@@ -190,7 +190,7 @@ def reason_templates(spark, sf_dir):
     return found.withColumn("label", label)
 
 
-_BOUND_A = "SELECT DISTINCT substr(upper(p_name), 1, 40) AS a FROM {part}"
+_BOUND_A = "SELECT DISTINCT upper(p_name) AS a FROM {part}"
 
 
 @query(f"""WITH a AS ({plain(_BOUND_A)}), t AS (SELECT unnest([{dims.quoted(t.upper() for t in dims.REASONS)}]) AS b), c AS (SELECT a, b, list_sum(list_transform(list_distinct(string_split(a, '')), lambda x: least(length(a) - length(replace(a, x, '')), length(b) - length(replace(b, x, ''))))) AS n FROM a, t)

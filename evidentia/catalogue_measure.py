@@ -14,8 +14,9 @@ from evidentia.operators import channels as H
 from evidentia.operators import geometry as X
 from evidentia.operators import policy as P
 from evidentia.oracle import sql
+from evidentia.plans.workspace import Workspace
 
-_IX = "cast(substr(case_id, 5, 6) AS BIGINT)"
+_IX = "cast(substr(case_id, 5) AS BIGINT)"
 #: Truth: what the policy says, but for two packets of five.
 _TRUTH = f"SELECT case_id, CASE WHEN {_IX} / 8 % 5 = 0 THEN 'APPROVED' WHEN {_IX} / 8 % 5 = 1 THEN 'DENIED' ELSE label0 END AS truth FROM lab"
 
@@ -23,14 +24,14 @@ _TRUTH = f"SELECT case_id, CASE WHEN {_IX} / 8 % 5 = 0 THEN 'APPROVED' WHEN {_IX
 def decisions(spark, sf_dir):
     """case_id, path, adjudication and the packet's truth."""
     out = decided(spark, sf_dir)
-    ix = F.substring("case_id", 5, 6).cast("long") / 8 % 5
+    ix = F.expr("substr(case_id, 5)").cast("long") / 8 % 5
     label0 = P.policy_label_of(F.col("path0"))
     both = out.withColumn("path0", F.col("path")).withColumn("label0", F.coalesce(F.when(F.col("path").startswith("N1"), F.lit("NEEDS_REVIEW")), label0))
     return both.select("case_id", "path", "adjudication", F.when(ix == 0, "APPROVED").when(ix == 1, "DENIED").otherwise(F.col("label0")).alias("truth"))
 
 
 def _split(spark, sf_dir):
-    d = decisions(spark, sf_dir)
+    d = Workspace(spark, "calibration").table("decisions", decisions(spark, sf_dir))  # both sides of a join read them
     return d.drop("truth"), d.select("case_id", "truth")
 
 
@@ -54,7 +55,7 @@ def shrunk_calibration(spark, sf_dir):
 @query(sql("""SELECT count(*) AS n, round(avg(r), 9) AS accuracy, round(avg((q - r) * (q - r)), 9) AS brier, round(20 * greatest(0, 1 - 2 * avg((q - r) * (q - r))), 9) AS points FROM (
   SELECT (adjudication = truth)::INT::DOUBLE AS r, coalesce((f.correct + 10 * q0.q) / (f.n + 10), q0.q) AS q FROM dt LEFT JOIN pf f USING (path), q0 WHERE cast(substr(case_id, 5) AS BIGINT) / 8 % 5 = 0)""", **_D))
 def brier_holdout(spark, sf_dir):
-    held = F.substring("case_id", 5, 6).cast("long") / 8 % 5 == 0
+    held = F.expr("substr(case_id, 5)").cast("long") / 8 % 5 == 0
     out = C.holdout_check(*_split(spark, sf_dir), held)
     return out.select("n", *(F.round(c, 9).alias(c) for c in ("accuracy", "brier", "points")))
 
@@ -70,8 +71,8 @@ _GOLD = ", ".join(f"CASE WHEN {_IX} / 8 % {3 + i} = 0 THEN 'other' ELSE upper({f
 @query(sql("SELECT fld, hits, n, round(hits / n, 9) AS accuracy, round(50 * weight * hits / n / 45, 9) AS points FROM (" + " UNION ALL ".join(
     f"SELECT '{f}' AS fld, {w} AS weight, count(*) FILTER (" + (f"{f} = lower(gold_{f})" if f == "risk_flags" else f"lower({f}) = lower(gold_{f})") + f") AS hits, count(*) AS n FROM (SELECT *, {_GOLD} FROM row)" for f, w in dims.FIELD_WEIGHTS.items()) + ")"))
 def field_accuracy(spark, sf_dir):
-    rows = P.build_row(decided(spark, sf_dir))
-    ix = F.substring("case_id", 5, 6).cast("long") / 8
+    rows = Workspace(spark, "accuracy").table("rows", P.build_row(decided(spark, sf_dir)))
+    ix = F.expr("substr(case_id, 5)").cast("long") / 8
     gold = rows.select("case_id", *(F.when(ix % (3 + i) == 0, "other").otherwise(F.upper(f)).alias(f) for i, f in enumerate(dims.FIELD_WEIGHTS)))
     out = C.field_accuracy(rows, gold)
     return out.select("fld", "hits", "n", F.round("accuracy", 9).alias("accuracy"), F.round("points", 9).alias("points"))
@@ -128,7 +129,7 @@ def ncc_rank(spark, sf_dir):
     return H.rank_patches(e.select(F.col("vec_id").alias("patch"), F.col("embedding").cast("array<double>").alias("pixels")), templates).select("patch", "value", F.round("score", 6).alias("score"))
 
 
-_VIEWS = "SELECT user_id AS case_id, event_type AS fld, CASE WHEN event_id % 17 = 0 THEN 'B' ELSE 'A' END AS value, concat(CASE event_id % 3 WHEN 0 THEN 'raw' WHEN 1 THEN 'otsu' ELSE 'ppocr' END, '-', cast(event_id % 2 AS VARCHAR(2))) AS view FROM {events} WHERE event_id % 23 = 0"
+_VIEWS = "SELECT user_id AS case_id, event_type AS fld, CASE WHEN event_id % 17 = 0 THEN 'B' ELSE 'A' END AS value, concat(CASE event_id % 3 WHEN 0 THEN 'raw' WHEN 1 THEN 'otsu' ELSE 'ppocr' END, '-', cast(event_id % 2 AS VARCHAR(2))) AS view FROM {events}"
 
 
 @query(f"SELECT case_id, fld, min(value) AS value, count(DISTINCT string_split(view, '-')[1]) AS families FROM ({plain(_VIEWS)}) GROUP BY 1, 2 HAVING min(value) = max(value) AND count(DISTINCT string_split(view, '-')[1]) >= 2")
@@ -136,7 +137,7 @@ def family_agreement(spark, sf_dir):
     return H.family_agreement(read(spark, sf_dir, _VIEWS))
 
 
-_ADV = "SELECT user_id AS case_id, event_type AS fld, CASE WHEN event_id % 5 = 0 THEN 'B' ELSE 'C' END AS value, value / 100 AS advantage FROM {events} WHERE event_id % 31 = 0"
+_ADV = "SELECT user_id AS case_id, event_type AS fld, CASE WHEN event_id % 5 = 0 THEN 'B' ELSE 'C' END AS value, value / 100 AS advantage FROM {events}"
 
 
 @query(f"""WITH f AS (SELECT case_id, fld, min(value) AS value FROM ({plain(_VIEWS)}) GROUP BY 1, 2), p AS ({plain(_ADV)})

@@ -19,7 +19,7 @@ from evidentia import dims
 
 _FUSED = tuple(p for a, b in dims.FUSIONS for p in ((a, b), (b, a)))
 #: Letters whose substitutions may cost less than 1, and what they cost, plainly and with look-alikes; the last row stands for all others.
-_LETTERS = {c: i for i, c in enumerate(sorted({c.lower() for group in dims.CONFUSIONS for c in group} | {c for p in dims.FUSION_SINGLES for c in p}))}
+_LETTERS = {c: i for i, c in enumerate(sorted({c for group in dims.CONFUSIONS for c in group} | {c for p in dims.FUSION_SINGLES for c in p}))}
 #: Pairs that are worked on at once.
 _PAIRS = 20_000
 
@@ -27,7 +27,7 @@ _PAIRS = 20_000
 def _costs(fused: bool) -> np.ndarray:
     out = np.ones((len(_LETTERS) + 1,) * 2)
     for group in dims.CONFUSIONS:
-        own = sorted({_LETTERS[c.lower()] for c in group})
+        own = [_LETTERS[c] for c in group]  # texts are looked up in lower case, so a group's capitals are never met
         out[np.ix_(own, own)] = 0.2
     for x, y in dims.FUSION_SINGLES if fused else ():
         x, y = _LETTERS[x], _LETTERS[y]

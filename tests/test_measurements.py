@@ -206,3 +206,16 @@ def test_packets_are_decided_as_they_arrive(spark, tmp_path):
         assert query.exception() is None
     got = rows.read_rows(spark, str(tmp_path / "out/*")).collect()
     assert [(r.case_id, r.home_world, r.adjudication) for r in got] == [("MIB-000001", "Eris Relay", got[0].adjudication)]
+
+
+def test_long_keys_stay_whole(spark):
+    import duckdb
+
+    from evidentia import carriers
+
+    keys = [0, 8, 999_999, 1_000_000, 1_234_560, 1_234_568, 12_345_678_901]
+    frame = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = [r[0] for r in frame.selectExpr(f"{carriers.case_of('k')} AS c").collect()]
+    want = [f"MIB-{k - k % 8:06d}" for k in keys]
+    assert got == want
+    assert [r[0] for r in duckdb.sql(f"SELECT {carriers.case_of('k')} FROM (SELECT unnest({keys}::BIGINT[]) AS k)").fetchall()] == want
