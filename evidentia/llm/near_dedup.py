@@ -25,6 +25,8 @@ columns are ignored. A text of any length is taken whole; its set must fit in a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +41,8 @@ from evidentia.plans.workspace import Workspace
 
 TREES, DEPTH, SHALLOW = 16, 6, 3
 REGION, WINDOW, HUBS = 32, 4, 3
-#: Of the 96 two-bit sketches, this many agree for all but 1 in 100,000 pairs at similarity 0.8.
-AGREE = {0.8: 66}
+#: Two-bit sketches of a set, and the share of similar pairs whose sketches may agree too seldom.
+SKETCHES, MISSED = 96, 1e-5
 #: Rows of a sorted order in a task, about.
 ROWS = 300_000
 #: Bits of the filter that tells which texts are read again; its size does not depend on the data.
@@ -53,6 +55,17 @@ BLOCK = 2048
 _A, _B = (keys(TREES * DEPTH, s).astype(np.uint32) | np.uint32(1) for s in (11, 12))
 
 
+@cache
+def least_agreeing(similarity: float) -> int:
+    """How many sketches agree for all but MISSED of the pairs at this similarity; unequal minima agree one time in four."""
+    p, below = similarity + (1 - similarity) / 4, 0.0
+    for k in range(SKETCHES + 1):
+        below += comb(SKETCHES, k) * p**k * (1 - p) ** (SKETCHES - k)
+        if below > MISSED:
+            return k
+    return SKETCHES
+
+
 def shingle_sets(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's sorted distinct shingles, of 55 bits, and where each text's begin; the last offset is the end. At most 512 texts."""
     words = Words(*utf8(text))
@@ -168,7 +181,7 @@ def pairs_of(cols: dict[str, np.ndarray], similarity: float) -> tuple[dict[str,
         unit[fits] = top + deeper[fits]
         small |= fits
         top += int(deeper[-1]) + 1 if n else 0
-    least = AGREE[similarity]
+    least = least_agreeing(similarity)
     hundredth = round(100 * similarity)
     s = np.stack([cols[f"s{i}"].view(np.uint64) for i in range(3)], axis=1) if n else np.zeros((0, 3), np.uint64)
     out_a, out_b, out_agree = [], [], []
@@ -373,7 +386,7 @@ def _hubs(large: DataFrame, links: DataFrame, comps: DataFrame, similarity: floa
 
     def may(h: Column) -> Column:
         sized = 100 * F.least(F.col("m.n"), h["n"]) >= hundredth * F.greatest(F.col("m.n"), h["n"])
-        return (h["component"] != F.col("m.component")) & sized & (agree(h) >= AGREE[similarity])
+        return (h["component"] != F.col("m.component")) & sized & (agree(h) >= least_agreeing(similarity))
 
     kept = F.transform(F.filter("hubs", may), lambda h: F.struct((-h["o"]).alias("y"), agree(h).alias("agree")))
     pairs = near.select("x", F.explode(kept).alias("p"))
@@ -500,7 +513,7 @@ def _meetings(cols: dict[str, np.ndarray], similarity: float) -> Iterator[pa.Rec
         good &= (100 + hundredth) * np.minimum(left[i], left[j]) >= hundredth * (x + y)
         a, b = i[good], j[good]
         agree = agreement(s[a], s[b])
-        near = agree >= AGREE[similarity]
+        near = agree >= least_agreeing(similarity)
         a, b = cols["id"][a[near]], cols["id"][b[near]]
         if len(a):
             yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b)), "agree": pa.array(agree[near].astype(np.int32))})

@@ -18,7 +18,7 @@ def plain_set(text, size=4):
     return {tuple(w)} if 0 < len(w) < size else {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
 
 
-def plain(rows):
+def plain(rows, percent=80):
     sets = [(d, plain_set(t)) for d, t in rows]
     root = {d: d for d, _ in rows if d is not None}
 
@@ -29,7 +29,7 @@ def plain(rows):
 
     for i, (a, x) in enumerate(sets):
         for b, y in sets[i + 1 :]:
-            if a is not None and b is not None and x and y and 100 * len(x & y) >= 80 * len(x | y):
+            if a is not None and b is not None and x and y and 100 * len(x & y) >= percent * len(x | y):
                 a_, b_ = find(a), find(b)
                 root[max(a_, b_)] = min(a_, b_)
     return {d: find(d) for d in root}
@@ -80,6 +80,12 @@ def test_components_equal_all_pairs(spark):
             assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_another_similarity(spark):
+    rows = [r for r in corpus() if r[0] is not None and r[0] != 970]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.dedup(docs, 4, 0.9).collect()} == plain(rows, 90)
+
+
 def passages():
     """Texts of one shared passage and words of their own; every thirtieth has a pair of about 0.82, with which alone it is linked."""
     rng = random.Random(21)
