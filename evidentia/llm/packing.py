@@ -45,6 +45,8 @@ ISLANDS = 3
 EPOCHS = 2
 POPULATION = 6
 GENERATIONS = 6
+#: Generations without a bin less after which an island stops.
+PATIENCE = 2
 #: Bins of more pieces are not searched for swaps, as best fit fills them well.
 SWAPPED = 6
 #: Bins with more free tokens than this are opened again for the next set of blocks.
@@ -168,6 +170,18 @@ def fullest(own: list[tuple[int, int]], low: int, high: int) -> tuple[int, ...]
     return places
 
 
+def least_bins(lengths: list[int], capacity: int) -> int:
+    """A number of bins that no packing can go below: pieces over half a bin each need their own, and smaller ones what room these leave."""
+    a = np.array(lengths, np.int64)
+    big, small = a[2 * a > capacity], a[2 * a <= capacity]
+    least = -(-int(a.sum()) // capacity)
+    for t in [0, *np.unique(small).tolist()]:
+        beside = big[big <= capacity - t]
+        spare = len(beside) * capacity - int(beside.sum())
+        least = max(least, len(big) + max(0, -(-(int(small[small >= t].sum()) - spare) // capacity)))
+    return least
+
+
 class Island:
     """A population of packings of one block; lengths fall from place to place."""
 
@@ -176,6 +190,8 @@ class Island:
         self.least = -(-sum(lengths) // capacity)
         falling = list(range(len(lengths)))
         self.people = [best_fit(lengths, falling, [], capacity)]
+        if not self.done():
+            self.least = least_bins(lengths, capacity)
 
     def fitness(self, bins: list[Bin]) -> tuple[float, float]:
         """Fewer bins first, then the mean square of fills, which rewards full bins beside a nearly empty one."""
@@ -230,8 +246,9 @@ class Island:
     def evolve(self, generations: int = GENERATIONS) -> list[Bin]:
         """The elite after some generations; the best POPULATION of parents and children live on."""
         self.settle()
+        best, stale = max(map(self.fitness, self.people)), 0
         for _ in range(generations):
-            if self.done():
+            if self.done() or stale == PATIENCE:
                 break
             children = []
             for _ in range(POPULATION):
@@ -239,6 +256,8 @@ class Island:
                 child = self.cross(giver, taker)
                 children.append(self.mutate(child) if self.rng.random() < 0.3 else child)
             self.people = sorted(self.people + children, key=self.fitness, reverse=True)[:POPULATION]
+            now = self.fitness(self.people[0])
+            best, stale = now, 0 if now[0] > best[0] else stale + 1
         return max(self.people, key=self.fitness)
 
 

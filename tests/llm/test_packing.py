@@ -109,3 +109,12 @@ def test_search_beats_best_fit_decreasing():
         assert own.least == 60 <= len(found) <= first
         saved += first - len(found)
     assert saved >= 20
+
+
+def test_least_bins_is_a_bound_and_sees_big_pieces():
+    rng = random.Random(4)
+    for _ in range(200):
+        lengths = sorted((rng.randint(1, 100) for _ in range(rng.randint(1, 9))), reverse=True)
+        order = min(len(packing.best_fit(lengths, rng.sample(range(len(lengths)), len(lengths)), [], 100)) for _ in range(200))
+        assert -(-sum(lengths) // 100) <= packing.least_bins(lengths, 100) <= order
+    assert packing.least_bins([1500] * 60, 2048) == 60
