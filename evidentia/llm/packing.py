@@ -43,12 +43,12 @@ VOCABULARY = "byte_bpe_50k.json"
 BLOCK_ITEMS = 4000
 ISLANDS = 3
 EPOCHS = 2
-POPULATION = 6
-GENERATIONS = 6
+POPULATION = 4
+GENERATIONS = 4
 #: Generations without a bin less after which an island stops.
 PATIENCE = 2
-#: Bins of more pieces are not searched for swaps, as best fit fills them well.
-SWAPPED = 6
+#: Bins of more pieces are not searched for swaps, as best fit fills them well and their pairs are many.
+SWAPPED = 3
 #: Bins with more free tokens than this are opened again for the next set of blocks.
 FREE = 24
 
