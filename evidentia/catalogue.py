@@ -35,7 +35,7 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from evidentia import catalogue_collect, catalogue_lines, catalogue_match, catalogue_measure  # noqa: F401  they register theirs
+    from evidentia import catalogue_collect, catalogue_lines, catalogue_match, catalogue_measure, catalogue_rereads  # noqa: F401  they register theirs
 
     return dict(_QUERIES)
 
