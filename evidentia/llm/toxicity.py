@@ -6,8 +6,9 @@ characters, hashed to 64 bits and to one of BUCKETS buckets.
 
 The machine is fitted on at most TRAIN_ROWS labelled documents, those with the smallest hashes of doc_id; its terms are the
 at most TERMS buckets whose presence depends most on the label, in all texts or in those with a term of the first kind, as
-a group's name may mean nothing but beside an insult. Both bound the broadcast model. One document in VALID is not fitted
-on: those choose the number of steps and the cut, which becomes a score of 0.5.
+a group's name may mean nothing but beside an insult. Both bound the broadcast model. Terms are counted and chosen by all
+tasks, and the one that fits gets the sample's chosen terms only, so its memory does not grow with the texts' length. One
+document in VALID is not fitted on: those choose the number of steps and the cut, which becomes a score of 0.5.
 
 Null and empty texts get the score of a text without terms. Rows with a null or other label teach nothing; a document with
 several label rows is toxic if any says so; one with several texts teaches by the greatest. Without labels the score is 0. A null id is neither held out nor used in
@@ -21,11 +22,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.llm.arrow import map_slices, remainder, slices, small_batches
 from evidentia.llm.textscan import ALNUM, Words, utf8
+from evidentia.plans.workspace import Workspace
 
 #: Documented bound of the training sample, and on the terms the machine knows.
 TRAIN_ROWS = 20_000
@@ -41,6 +43,8 @@ LEAST_TEXTS = 8
 LEAST_CHI2 = 16.0
 #: One row in so many chooses steps and cut.
 VALID = 5
+#: Terms of texts that the machine's sums take at once.
+BLOCK = 1 << 22
 
 
 def terms(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,26 +65,29 @@ class Model:
 
     def score(self, text: pa.Array) -> np.ndarray:
         of, bucket = terms(text)
-        at = np.searchsorted(self.terms, bucket)
-        at[at == len(self.terms)] = 0
-        known = self.terms[at] == bucket if len(self.terms) else np.zeros(len(at), bool)
+        at, known = places(self.terms, bucket)
         return 1 / (1 + np.exp(-np.clip(forward(of[known], at[known], len(text), self.w0, self.w, self.v)[0], -30, 30)))
 
 
 def forward(of: np.ndarray, at: np.ndarray, n: int, w0: float, w: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The machine's sum for n texts with terms `at` in texts `of`, and each text's sum of factors."""
-    linear = np.bincount(of, weights=w[at], minlength=n)
-    sums = np.stack([np.bincount(of, weights=v[at, f], minlength=n) for f in range(v.shape[1])], axis=1)
-    own = np.bincount(of, weights=(v[at] ** 2).sum(axis=1), minlength=n)
+    linear, own, sums, squares = np.zeros(n), np.zeros(n), np.zeros((n, v.shape[1])), (v**2).sum(axis=1)
+    for part in blocks(len(at)):
+        texts, known = of[part], at[part]
+        linear += np.bincount(texts, weights=w[known], minlength=n)
+        own += np.bincount(texts, weights=squares[known], minlength=n)
+        for f in range(v.shape[1]):
+            sums[:, f] += np.bincount(texts, weights=v[known, f], minlength=n)
     return w0 + linear + 0.5 * ((sums**2).sum(axis=1) - own), sums
 
 
-def chi_square(place: np.ndarray, of: np.ndarray, y: np.ndarray, inside: np.ndarray, n_terms: int) -> np.ndarray:
-    """Each term's dependence on the label over the rows inside; 0 for rare terms."""
-    n, positive = float(inside.sum()), float(y[inside].sum())
-    own = inside[of]
-    df = np.bincount(place[own], minlength=n_terms).astype(float)
-    tp = np.bincount(place[own], weights=y[of[own]], minlength=n_terms)
+def blocks(size: int) -> list[slice]:
+    return [slice(i, min(i + BLOCK, size)) for i in range(0, size, BLOCK)]
+
+
+def chi_square(df: np.ndarray, tp: np.ndarray, n: float, positive: float) -> np.ndarray:
+    """Each term's dependence on the label over n texts, positive of which are toxic: df have the term, tp of them toxic; 0 for rare terms."""
+    df, tp = df.astype(float), tp.astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
         chi2 = n * (tp * (n - positive - df + tp) - (df - tp) * (positive - tp)) ** 2 / (df * (n - df) * positive * (n - positive))
     return np.where((df >= LEAST_TEXTS) & np.isfinite(chi2), chi2, 0)
@@ -89,30 +96,65 @@ def chi_square(place: np.ndarray, of: np.ndarray, y: np.ndarray, inside: np.ndar
 def choose(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, inside: np.ndarray) -> np.ndarray:
     """The terms of the machine, sorted."""
     seen, place = np.unique(bucket, return_inverse=True)
-    chi2 = chi_square(place, of, y, inside, len(seen))
+
+    def over(rows: np.ndarray) -> np.ndarray:
+        own = rows[of]
+        df = np.bincount(place[own], minlength=len(seen))
+        return chi_square(df, np.bincount(place[own], weights=y[of[own]], minlength=len(seen)), float(rows.sum()), float(y[rows].sum()))
+
+    chi2 = over(inside)
     beside = np.zeros(len(y), bool)
     beside[of[(chi2 >= LEAST_CHI2)[place]]] = True
-    chi2 = np.maximum(chi2, chi_square(place, of, y, inside & beside, len(seen)))
+    chi2 = np.maximum(chi2, over(inside & beside))
     order = np.lexsort((seen, -chi2))[:TERMS]
-    chosen = order[chi2[order] >= LEAST_CHI2]
-    return np.sort(seen[chosen if len(chosen) else order[:1]])
+    return enough(seen[order], chi2[order])
 
 
-def fit(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, factors: int = FACTORS, pairs: bool = True) -> Model:
-    """Chooses terms by chi-square and fits by full-batch Adam; of and bucket as of terms(). Without pairs factors stay 0."""
-    n, positive = len(y), float(y.sum())
-    if not n or not 0 < positive < n:
-        base = float(np.clip(positive / n if n else 0, 1e-6, 1 - 1e-6))
-        return Model(np.zeros(0, np.int64), float(np.log(base / (1 - base))), np.zeros(1), np.zeros((1, factors)))
+def enough(bucket: np.ndarray, chi2: np.ndarray) -> np.ndarray:
+    """Of the first terms by dependence those that depend enough, sorted; the first one if none does."""
+    chosen = chi2 >= LEAST_CHI2
+    return np.sort(bucket[chosen] if chosen.any() else bucket[:1])
+
+
+def set_aside(y: np.ndarray) -> np.ndarray:
+    """The rows that choose steps and cut; none if either part would lack a kind of label."""
+    n = len(y)
     aside = np.random.default_rng(5).permutation(n) % VALID == 0
     if not (0 < y[aside].sum() < aside.sum() and 0 < y[~aside].sum() < n - aside.sum()):
         aside[:] = False
-    taught, judged = ~aside, aside if aside.any() else ~aside
-    chosen = choose(of, bucket, y, taught)
+    return aside
+
+
+def constant(y: np.ndarray, factors: int = FACTORS) -> Model | None:
+    """The model of labels of one kind or none."""
+    n, positive = len(y), float(y.sum())
+    if 0 < positive < n:
+        return None
+    base = float(np.clip(positive / n if n else 0, 1e-6, 1 - 1e-6))
+    return Model(np.zeros(0, np.int64), float(np.log(base / (1 - base))), np.zeros(1), np.zeros((1, factors)))
+
+
+def fit(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, factors: int = FACTORS, pairs: bool = True) -> Model:
+    """Chooses terms by chi-square and fits; of and bucket as of terms(). Without pairs factors stay 0."""
+    if (same := constant(y, factors)) is not None:
+        return same
+    aside = set_aside(y)
+    chosen = choose(of, bucket, y, ~aside)
+    at, known = places(chosen, bucket)
+    return fit_chosen(of[known], at[known], y, aside, chosen, factors, pairs)
+
+
+def places(chosen: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each bucket's place among the chosen ones, and whether it is one of them."""
     at = np.searchsorted(chosen, bucket)
     at[at == len(chosen)] = 0
-    known = chosen[at] == bucket
-    of, at = of[known], at[known]
+    return at, chosen[at] == bucket if len(chosen) else np.zeros(len(at), bool)
+
+
+def fit_chosen(of: np.ndarray, at: np.ndarray, y: np.ndarray, aside: np.ndarray, chosen: np.ndarray, factors: int = FACTORS, pairs: bool = True) -> Model:
+    """Fits by full-batch Adam on the places `at` of chosen terms in texts `of`."""
+    n = len(y)
+    taught, judged = ~aside, aside if aside.any() else ~aside
     rng = np.random.default_rng(17)
     base = float(y[taught].mean())
     w0, w, v = float(np.log(base / (1 - base))), np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), factors)) * pairs
@@ -126,12 +168,15 @@ def fit(of: np.ndarray, bucket: np.ndarray, y: np.ndarray, factors: int = FACTOR
             if best is None or (errors, loss) < best[:2]:
                 best = errors, loss, w0 - cut, w.copy(), v.copy()
         error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - y) * taught / taught.sum()
-        own = error[of]
-        grads = [
-            np.array([error.sum()]),
-            np.bincount(at, weights=own, minlength=len(w)) + DECAY * w,
-            np.stack([np.bincount(at, weights=own * (sums[of, f] - v[at, f]), minlength=len(w)) for f in range(factors)], axis=1) + DECAY * v,
-        ]
+        grads = [np.array([error.sum()]), np.zeros_like(w), np.zeros_like(v)]
+        for part in blocks(len(at)):
+            texts, known = of[part], at[part]
+            own = error[texts]
+            grads[1] += np.bincount(known, weights=own, minlength=len(w))
+            for f in range(factors if pairs else 0):
+                grads[2][:, f] += np.bincount(known, weights=own * (sums[texts, f] - v[known, f]), minlength=len(w))
+        grads[1] += DECAY * w
+        grads[2] += DECAY * v
         for k, g in enumerate(grads):
             m, s = state[k]
             m += 0.1 * (g - m)
@@ -178,29 +223,92 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     taught = taught.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))  # and so has this, however often ids repeat
     rows_of = taught.select("doc_id", "text", "toxic").mapInArrow(to_terms, "doc_id bigint, toxic int, terms array<int>")
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ys, lists, ids = [], [], []
-        for batch in batches:
-            ids.append(batch.column("doc_id").to_numpy(zero_copy_only=False))
-            ys.append(batch.column("toxic").to_numpy(zero_copy_only=False))
-            lists.append(batch.column("terms"))
-        if ys:
-            counts = np.concatenate([np.asarray(pc.list_value_length(x)) for x in lists])
-            flat = np.concatenate([np.asarray(x.flatten()) for x in lists]).astype(np.int64)
-            order = np.argsort(np.concatenate(ids), kind="stable")
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            of = np.repeat(rank, counts)
-            by_row = np.argsort(of, kind="stable")
-            model = fit(of[by_row], flat[by_row], np.concatenate(ys).astype(float)[order])
-        else:
-            model = Model(np.zeros(0, np.int64), -30.0, np.zeros(1), np.zeros((1, FACTORS)))
-        yield pa.RecordBatch.from_pydict({"terms": pa.array([model.terms], pa.list_(pa.int64())), "w0": pa.array([model.w0]), "w": pa.array([model.w], pa.list_(pa.float64())), "v": pa.array([model.v.ravel()], pa.list_(pa.float64()))})
-
-    (one,) = rows_of.repartition(1).mapInArrow(learn, "terms array<bigint>, w0 double, w array<double>, v array<double>").collect() or [None]
-    if one is None:
+    work = Workspace(docs.sparkSession, "toxicity")
+    held = work.table("terms", rows_of)
+    sample = sorted((r["doc_id"], r["toxic"]) for r in held.select("doc_id", "toxic").collect())  # at most `rows`
+    if not sample:
         return Model(np.zeros(0, np.int64), -30.0, np.zeros(1), np.zeros((1, FACTORS)))
-    return Model(np.array(one["terms"], np.int64), one["w0"], np.array(one["w"]), np.array(one["v"]).reshape(-1, FACTORS))
+    ids, y = np.array([i for i, _ in sample], np.int64), np.array([t for _, t in sample], float)
+    if (same := constant(y)) is not None:
+        return same
+    aside = set_aside(y)
+    terms_chosen = choose_in_tasks(held, ids[~aside], y[~aside], work)
+
+    def known_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, bucket = flattened(batch)
+            at, known = places(terms_chosen, bucket)
+            ends = np.searchsorted(of[known], np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "at": pa.ListArray.from_arrays(pa.array(ends), pa.array(at[known].astype(np.int16)))})
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        at = table.column("at").combine_chunks().take(pa.array(np.argsort(table.column("doc_id").to_numpy())))
+        of = np.repeat(np.arange(len(at), dtype=np.int32), np.asarray(pc.list_value_length(at)))
+        model = fit_chosen(of, np.asarray(at.flatten()), y, aside, terms_chosen)
+        yield pa.RecordBatch.from_pydict({"w0": pa.array([model.w0]), "w": pa.array([model.w], pa.list_(pa.float64())), "v": pa.array([model.v.ravel()], pa.list_(pa.float64()))})
+
+    known = held.mapInArrow(known_terms, "doc_id bigint, at array<smallint>")
+    (one,) = known.repartition(1).mapInArrow(learn, "w0 double, w array<double>, v array<double>").collect()
+    return Model(terms_chosen, one["w0"], np.array(one["w"]), np.array(one["v"]).reshape(-1, FACTORS))
+
+
+def flattened(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Terms as of terms(), of a batch of lists of them."""
+    lists = batch.column("terms")
+    return np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(lists))), np.asarray(lists.flatten()).astype(np.int64)
+
+
+def choose_in_tasks(held: DataFrame, ids: np.ndarray, y: np.ndarray, work: Workspace) -> np.ndarray:
+    """What choose() gives for the rows of held (doc_id, toxic, terms), inside being those of the ids, whose labels are y."""
+    schema = "bucket int, df bigint, tp bigint"
+
+    def counts(strong: np.ndarray | None) -> DataFrame:
+        """Texts with each bucket and toxic ones, over ids with a strong bucket, if given; bucket -1 stands in all of these."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            df, tp, seen = np.zeros(BUCKETS + 1, np.int32), np.zeros(BUCKETS + 1, np.int32), np.zeros(BUCKETS + 1, bool)
+            for batch in batches:
+                of, bucket = flattened(batch)
+                inside = np.isin(batch.column("doc_id").to_numpy(), ids)
+                if strong is None:
+                    seen[bucket] = True
+                else:
+                    beside = np.zeros(batch.num_rows, bool)
+                    beside[of[(strong[bucket >> 6] >> (bucket & 63).astype(np.uint64)) & np.uint64(1) > 0]] = True
+                    inside &= beside
+                toxic = batch.column("toxic").to_numpy() > 0
+                np.add.at(df, bucket[inside[of]], 1)
+                np.add.at(tp, bucket[(inside & toxic)[of]], 1)
+                df[BUCKETS] += inside.sum()
+                tp[BUCKETS] += (inside & toxic).sum()
+            at = np.flatnonzero(seen | (df > 0))
+            for part in (at[i : i + (1 << 16)] for i in range(0, len(at), 1 << 16)):
+                named = np.where(part == BUCKETS, -1, part).astype(np.int32)
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array(named), "df": pa.array(df[part].astype(np.int64)), "tp": pa.array(tp[part].astype(np.int64))})
+
+        return held.select("doc_id", "toxic", "terms").mapInArrow(run, schema).groupBy("bucket").agg(F.sum("df").alias("df"), F.sum("tp").alias("tp"))
+
+    def dependence(counted: DataFrame, n: float, positive: float) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                chi2 = chi_square(batch.column("df").to_numpy(), batch.column("tp").to_numpy(), n, positive)
+                yield pa.RecordBatch.from_pydict({"bucket": batch.column("bucket"), "chi2": pa.array(chi2)})
+
+        return counted.filter("bucket >= 0").select("bucket", "df", "tp").mapInArrow(run, "bucket int, chi2 double")
+
+    alone = work.table("alone", dependence(counts(None), float(len(y)), float(y.sum())))
+    strong = np.zeros(BUCKETS >> 6, np.uint64)
+    bit: Column = F.expr("shiftleft(1L, bucket % 64)")
+    for r in alone.filter(F.col("chi2") >= LEAST_CHI2).groupBy(F.shiftright("bucket", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toLocalIterator():
+        strong[r["word"]] = np.int64(r["bits"]).view(np.uint64)
+    found = alone
+    if strong.any():
+        beside = work.table("beside", counts(strong))
+        whole = beside.filter("bucket = -1").first()
+        found = alone.unionAll(dependence(beside, float(whole["df"]), float(whole["tp"])))
+    first = found.groupBy("bucket").agg(F.max("chi2").alias("chi2")).orderBy(F.desc("chi2"), "bucket").limit(TERMS).collect()
+    return enough(np.array([r["bucket"] for r in first], np.int64), np.array([r["chi2"] for r in first], float))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:

@@ -198,3 +198,18 @@ def test_repeated_ids_do_not_swell_the_sample(spark):
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
     once, often = toxicity.train(docs, marks), toxicity.train(docs.withColumn("text", F.explode(F.array("text", "text", "text"))), marks)
     assert (once.terms == often.terms).all() and (once.w == often.w).all() and once.w0 == often.w0
+
+
+def test_the_task_that_fits_gets_chosen_terms_only(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows, labels = labelled(400)
+    rows = [(i, text + "".join(f" rare{i}x{k}" for k in range(1500))) for i, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    handed, real = [], type(docs).repartition
+    monkeypatch.setattr(type(docs), "repartition", lambda self, *by: handed.append(self) or real(self, *by))
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    (lists,) = (name for name, kind in handed[-1].dtypes if kind.startswith("array"))
+    assert handed[-1].agg(F.max(F.size(lists))).first()[0] <= len(model.terms) < 100
+    want = toxicity.fit(*toxicity.terms(pa.array([text for _, text in rows])), np.array([float(toxic) for _, toxic in labels]))
+    assert (model.terms == want.terms).all() and (model.w == want.w).all() and (model.v == want.v).all() and model.w0 == want.w0
