@@ -45,6 +45,8 @@ REGION, WINDOW, HUBS = 32, 4, 3
 SKETCHES, MISSED = 96, 1e-5
 #: Rows of a sorted order in a task, about.
 ROWS = 300_000
+#: Rows of a batch of what a task found. A row may be in REGION - 1 pairs, so a task's millions never lie in one batch.
+FOUND_ROWS = 1 << 14
 #: Bits of the filter that tells which texts are read again; its size does not depend on the data.
 FILTER_BITS = 25
 #: Bits of the table of shingle counts that puts the rarest first; its size does not depend on the data.
@@ -167,12 +169,17 @@ def _changes(cols: dict[str, np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def pairs_of(cols: dict[str, np.ndarray], similarity: float) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Candidates (a < b, agree) of rows in sorted order; each row's region and the regions' sizes."""
+def regions_of(changes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's region and the regions' sizes."""
+    region = np.cumsum(changes[0]) - 1
+    return region, np.bincount(region, minlength=region[-1] + 1 if len(region) else 0)
+
+
+def pairs_of(cols: dict[str, np.ndarray], similarity: float) -> Iterator[dict[str, np.ndarray]]:
+    """Candidates (a < b, agree) of rows in sorted order, at most one for each row at a time."""
     n = len(cols["id"])
     changes = _changes(cols)
-    region = np.cumsum(changes[0]) - 1
-    sizes = np.bincount(region, minlength=region[-1] + 1 if n else 0)
+    region, sizes = regions_of(changes)
     unit, small = region.copy(), sizes[region] <= REGION
     top = int(region[-1]) + 1 if n else 0
     for new in changes[1:]:
@@ -184,7 +191,6 @@ def pairs_of(cols: dict[str, np.ndarray], similarity: float) -> tuple[dict[str,
     least = least_agreeing(similarity)
     hundredth = round(100 * similarity)
     s = np.stack([cols[f"s{i}"].view(np.uint64) for i in range(3)], axis=1) if n else np.zeros((0, 3), np.uint64)
-    out_a, out_b, out_agree = [], [], []
     for k in range(1, min(REGION, n)):
         near = small[k:] & (unit[k:] == unit[:-k])
         if k <= WINDOW:
@@ -197,16 +203,13 @@ def pairs_of(cols: dict[str, np.ndarray], similarity: float) -> tuple[dict[str,
         agree = agreement(s[i], s[i + k])
         i, agree = i[agree >= least], agree[agree >= least]
         a, b = cols["id"][i], cols["id"][i + k]
-        out_a.append(np.minimum(a, b))
-        out_b.append(np.maximum(a, b))
-        out_agree.append(agree)
-    put = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return {"a": put(out_a), "b": put(out_b), "agree": put(out_agree)}, region, sizes
+        yield {"a": np.minimum(a, b), "b": np.maximum(a, b), "agree": agree}
 
 
-def _emit(kind: str, cols: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    n = len(next(iter(cols.values())))
-    if n:
+def _emit(kind: str, found: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(next(iter(found.values()))), FOUND_ROWS):
+        cols = {k: v[at : at + FOUND_ROWS] for k, v in found.items()}
+        n = len(next(iter(cols.values())))
         table = {"kind": pa.array([kind] * n, pa.string())}
         for name, t in (("a", pa.int64()), ("b", pa.int64()), ("agree", pa.int32()), ("tree", pa.int32()), *((k, pa.int64()) for k in _NAMES[1:])):
             table[name] = pa.array(cols[name].astype(t.to_pandas_dtype())) if name in cols else pa.nulls(n, t)
@@ -231,8 +234,9 @@ def search(nodes: DataFrame, work: Workspace, similarity: float, ranges: int) ->
         cols = _columns(held) if held else {}
         if not held or not len(cols["id"]):
             return
-        pairs, region, sizes = pairs_of(cols, similarity)
-        yield from _emit("pair", pairs)
+        for pairs in pairs_of(cols, similarity):
+            yield from _emit("pair", pairs)
+        region, sizes = regions_of(_changes(cols))
         yield from _emit("large", _take(cols, np.flatnonzero(sizes[region] > REGION)))
         place = np.arange(len(region))
         head = np.searchsorted(region, region, side="left")
@@ -244,8 +248,9 @@ def search(nodes: DataFrame, work: Workspace, similarity: float, ranges: int) ->
         cols = _columns(table)
         order = np.lexsort((cols["id"], cols["k2"], cols["k1"], cols["k0"], cols["tree"]))
         cols = _take(cols, order)
-        pairs, region, sizes = pairs_of(cols, similarity)
-        out = [*_emit("pair", pairs), *_emit("large", _take(cols, np.flatnonzero(sizes[region] > REGION)))]
+        region, sizes = regions_of(_changes(cols))
+        out = [batch for pairs in pairs_of(cols, similarity) for batch in _emit("pair", pairs)]
+        out += _emit("large", _take(cols, np.flatnonzero(sizes[region] > REGION)))
         return pa.Table.from_batches(out) if out else pa.Table.from_batches(list(_emit("pair", {"a": np.zeros(1, np.int64), "b": np.zeros(1, np.int64), "agree": np.zeros(1, np.int64)}))).slice(0, 0)
 
     ordered = sorted_orders(nodes).repartitionByRange(ranges, *keys_by).sortWithinPartitions(*keys_by)

@@ -4,6 +4,7 @@ import random
 import re
 
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from evidentia.llm import near_dedup
@@ -109,6 +110,36 @@ def test_pairs_in_a_family_that_shares_a_passage(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in near_dedup.query(docs).collect()} == want
 
 
+def test_pairs_of_dense_regions_come_in_bounded_batches(monkeypatch):
+    class Taken(Exception):
+        pass
+
+    class Orders:
+        def repartitionByRange(self, *_):
+            return self
+
+        sortWithinPartitions = table = repartitionByRange
+
+        def mapInArrow(self, scan, _):
+            raise Taken(scan)
+
+    monkeypatch.setattr(near_dedup, "sorted_orders", lambda nodes: Orders())
+    with pytest.raises(Taken) as taken:
+        near_dedup.search(None, Orders(), 0.8, 1)
+    rows, family = 32_000, 32
+    ids = range(rows)
+    order = {k: pa.array([0] * rows, pa.int64()) for k in near_dedup._NAMES} | {"k0": pa.array([i // family for i in ids]), "id": pa.array(ids), "n": pa.array([100] * rows)}
+    batches = pa.Table.from_pydict(order).to_batches(512)
+    found, most, held = set(), 0, pa.total_allocated_bytes()
+    for batch in taken.value.args[0](iter(batches)):
+        assert batch.num_rows <= 1 << 16
+        most = max(most, pa.total_allocated_bytes() - held)
+        pairs = batch.filter(pa.compute.equal(batch.column("kind"), "pair"))
+        found |= set(zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True))
+    assert found == {(a, b) for a in ids for b in range(a + 1, a - a % family + family)}
+    assert most < 16 << 20
+
+
 def test_sets_of_a_full_batch():
     texts = [f"a b c d e{i}" for i in range(512)]
     values, at = near_dedup.shingle_sets(pa.array(texts), 4)
