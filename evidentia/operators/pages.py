@@ -127,10 +127,15 @@ def type_by_labels(labels: DataFrame) -> DataFrame:
 
 
 def header_types(lines: DataFrame) -> DataFrame:
-    """case_id, page_index, doc_type, tier_x10 by the nearest header of a page's first lines; null and 50 without one."""
-    top = lines.filter(F.col("line_ord") < dims.HEADER_LINES).groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("line_ord", "text"))), lambda x: x["text"]).alias("lines"))
-    call = F.pandas_udf(lambda s: M.headers([list(x) for x in s]), "doc_type string, tier_x10 int")
-    return top.select(*PAGE, call("lines").alias("h")).select(*PAGE, "h.doc_type", "h.tier_x10")
+    """case_id, page_index, doc_type, tier_x10 by the nearest header of a page's first lines; null and 50 without one.
+
+    Each distinct line is compared with the headers once; of a page's lines that are equally near the first counts.
+    """
+    call = F.pandas_udf(lambda s: M.header_hits(s.tolist()), "doc_type string, tier_x10 int, share double")
+    top = M.of_distinct(lines.filter(F.col("line_ord") < dims.HEADER_LINES).select(*PAGE, "line_ord", "text"), "text", "h", call("text"))
+    first = F.slice(F.array_sort(F.collect_list(F.struct("line_ord", "text", "h"))), 1, dims.HEADER_LINES)
+    near = F.transform(first, lambda x, i: F.when(x["h"]["doc_type"].isNotNull(), F.struct(x["h"]["share"].alias("share"), i.alias("i"), x["h"]["doc_type"].alias("doc_type"), x["h"]["tier_x10"].alias("tier_x10"))))
+    return top.groupBy(*PAGE).agg(F.array_min(near).alias("b")).select(*PAGE, "b.doc_type", F.coalesce("b.tier_x10", F.lit(50)).alias("tier_x10"))
 
 
 def anchored(lines: DataFrame) -> DataFrame:

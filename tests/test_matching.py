@@ -81,6 +81,14 @@ def test_batches_equal_single_texts():
     assert M.headers(pages).values.tolist() == [[None, 50], [None, 50], ["fee_receipt", 25], [None, 50], ["registry", 50]]
 
 
+def test_repeated_lines_are_compared_with_headers_once(monkeypatch):
+    pairs, far = [], M.fuzzy.distances
+    monkeypatch.setattr(M.fuzzy, "distances", lambda a, b: pairs.append(len(a)) or far(a, b))
+    page = ["some words", "MIB Fee Receipt", "Amount: $809.00"]
+    assert M.headers([page] * 50).values.tolist() == M.headers([page]).values.tolist() * 50
+    assert pairs[0] == pairs[1]
+
+
 def test_anchors_take_the_first_near_label_then_try_without_spaces():
     assert anchor("Sponsor ID: SPN-1234") == ("sponsor_id", "Sponsor ID", "SPN-1234")
     assert anchor("| | H0me Wor1d Titan Freeport") == ("home_world", "Home World", "Titan Freeport")
