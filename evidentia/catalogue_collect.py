@@ -24,29 +24,29 @@ _FOOT = f"SELECT {mib('c_custkey')} AS case_id, 0 AS page_index, concat('Packet
 
 
 def _parts(spark, sf_dir):
-    return K.collect(read(spark, sf_dir, PACKET_LINES), read(spark, sf_dir, _FOOT))
+    return K.Collected(read(spark, sf_dir, PACKET_LINES), read(spark, sf_dir, _FOOT))
 
 
 @query()
 def collected_candidates(spark, sf_dir):
-    return _parts(spark, sf_dir)[0].select("case_id", "page_index", "cand_ord", "fld", "raw", "value", "tier_x10", "source", "conf_bp")
+    return _parts(spark, sf_dir).candidates().select("case_id", "page_index", "cand_ord", "fld", "raw", "value", "tier_x10", "source", "conf_bp")
 
 
 @query()
 def collected_flags(spark, sf_dir):
-    return _parts(spark, sf_dir)[1].select("case_id", "page_index", F.array_join("flags", "|").alias("flags"), "parsed_ok", "tier_x10", "conf_bp")
+    return _parts(spark, sf_dir).flags().select("case_id", "page_index", F.array_join("flags", "|").alias("flags"), "parsed_ok", "tier_x10", "conf_bp")
 
 
 @query(f"""SELECT {mib('c_custkey')} AS case_id, 2 AS page_index, 'DENIED' AS label, c_custkey % 4 = 3 AS template_only, CASE WHEN c_custkey % 4 = 3 THEN 'Mandatory fee unpaid.' END AS template,
   CASE WHEN c_custkey % 4 = 2 THEN 81 ELSE 81 END AS conf_bp FROM customer""")
 def collected_findings(spark, sf_dir):
     """A printed finding, a garbled phrase, a stamp with a reason, and a reason alone, by customer."""
-    return _parts(spark, sf_dir)[2].select("case_id", "page_index", "label", "template_only", "template", "conf_bp")
+    return _parts(spark, sf_dir).findings().select("case_id", "page_index", "label", "template_only", "template", "conf_bp")
 
 
 @query(f"SELECT {mib('c_custkey')} AS case_id, 'sponsor_id' AS fld, 'SPN-0007' AS value, 81 AS conf_bp FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT {mib('c_custkey')}, 'fee_status', 'unpaid', 81 FROM customer WHERE c_custkey % 4 = 2")
 def reason_mining(spark, sf_dir):
-    return K.mine_reasons(_parts(spark, sf_dir)[2])
+    return K.mine_reasons(_parts(spark, sf_dir).findings())
 
 
 @query(f"SELECT {mib('c_custkey')} AS case_id, k AS page_index, ['intake', 'fee_receipt', 'note', 'biometric'][k + 1] AS doc_type FROM customer, (SELECT unnest([0, 1, 2, 3]) AS k)")
